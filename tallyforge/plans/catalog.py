@@ -3,5 +3,6 @@
 from tallyforge.plans import (  # noqa: F401
     describe_queries,
     encode_queries,
+    neighbour_queries,
 )
 from tallyforge.plans.registry import CATALOG  # noqa: F401

@@ -56,3 +56,14 @@ def ensure_checkpoint(spark: SparkSession) -> None:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tallyforge/{label}-{uuid.uuid4().hex}"
+
+
+def written(df, label: str):
+    """Write once as Parquet below the shared folder and read it back.
+
+    For results used several times: later stages read columns from storage, the
+    lineage ends here, and Spark knows the real size when it plans a join.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

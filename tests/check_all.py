@@ -21,7 +21,7 @@ if __name__ == "__main__":
     con = connect(sf_dir)
     failed = 0
     for name, q in CATALOG.items():
-        if parts and not any(p in name or p in q.covers for p in parts):
+        if parts and not any(p in name or any(c.startswith(p) for c in q.covers) for p in parts):
             continue
         started = time.time()
         try:
