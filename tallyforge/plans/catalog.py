@@ -3,6 +3,8 @@
 from tallyforge.plans import (  # noqa: F401
     describe_queries,
     encode_queries,
+    metric_queries,
     neighbour_queries,
+    vector_queries,
 )
 from tallyforge.plans.registry import CATALOG  # noqa: F401
