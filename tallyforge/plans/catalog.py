@@ -4,7 +4,9 @@ from tallyforge.plans import (  # noqa: F401
     describe_queries,
     encode_queries,
     metric_queries,
+    model_queries,
     neighbour_queries,
+    stream_queries,
     vector_queries,
 )
 from tallyforge.plans.registry import CATALOG  # noqa: F401
