@@ -25,7 +25,7 @@ MAX_CENTRE_VALUES = 2_000_000
 def matrix(column: pa.Array) -> np.ndarray:
     """An Arrow list column of equal lengths as a 2-d array, without copying rows."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), len(flat) // max(len(column), 1))
 
 
 def _closer(features: str, ids: np.ndarray, centres: np.ndarray):

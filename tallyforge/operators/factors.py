@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.operators.decompose import svd_of_vectors
+from tallyforge.operators.decompose import fold_products, map_rows, whitener
 from tallyforge.operators.joins import lookup_join
-from tallyforge.operators.ordering import global_index
 from tallyforge.session import ensure_checkpoint, written
 
 # Rank, rounds and regularisation used by default.
 RANK, ROUNDS, REGULARISATION = 50, 10, 0.01
 
-# A singular vector of this many items is 32 MB on the driver per Lanczos vector.
-MAX_SVD_ITEMS = 4_000_000
-
 
 def fit(
     ratings: DataFrame,
@@ -76,76 +70,57 @@ def recommend_to(model: ALSModel, users: DataFrame, k: int, titles: DataFrame |
     return lookup_join(ranked, titles, "item_id") if titles is not None else ranked
 
 
-def latent_items(ratings: DataFrame, dims: int = 4) -> DataFrame:
-    """Items as rows of the right singular vectors of the user x item matrix.
-
-    One distributed decomposition of sparse user rows (Lanczos: one pass over the
-    rows per step). The sign of each dimension is fixed, so the result is
-    reproducible. Beyond ``MAX_SVD_ITEMS`` items, where a vector over all items
-    should not sit on the driver, the iteration on tables takes over.
-    ``(item_id, features)``.
-    """
-    index = written(global_index(ratings.select("item_id").distinct(), ["item_id"]), "svd-items")
-    n = index.count()
-    if n > MAX_SVD_ITEMS:
-        return latent_items_by_iteration(ratings, dims)
-    at = lookup_join(ratings.select("user_id", "item_id", "rating"), index, "item_id")
-    # (user, item) is unique, so a user's row holds at most n entries, and n is checked above.
-    rows = at.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("idx", "rating"))).alias("row"))
-
-    @F.udf(VectorUDT())
-    def sparse(pairs):
-        # Spark has no built-in expression that makes a sparse vector.
-        return Vectors.sparse(n, [p[0] for p in pairs], [p[1] for p in pairs])
-
-    _, right = svd_of_vectors(rows.select(sparse("row").alias("v")), dims)
-    table = pd.DataFrame({"idx": np.arange(n), "features": right.tolist()})
-    spark = ratings.sparkSession
-    return index.join(spark.createDataFrame(table, "idx long, features array<double>"), "idx").select(
-        "item_id", "features"
-    )
-
-
-def latent_items_by_iteration(
-    ratings: DataFrame, dims: int = 4, spare: int = 4, rounds: int = 30, seed: int = 42
+def latent_items(
+    ratings: DataFrame, dims: int = 4, spare: int = 12, rounds: int = 30, tolerance: float = 1e-11, seed: int = 42
 ) -> DataFrame:
-    """As :func:`latent_items`, by subspace iteration on tables.
+    """Items as rows of the right singular vectors of the user x item matrix.
 
-    A round multiplies by the matrix and its transpose: two joins and two sums that
-    combine map-side, each result written to the shared folder. The driver sees
-    only ``(dims + spare)`` squared numbers.
+    Block Krylov iteration on tables. A round multiplies a block of vectors by the
+    matrix and its transpose (two joins, two sums that combine map-side) and writes
+    one table; all blocks together form the basis the answer is taken from. It ends
+    when the leading squared singular values stand still. A user or an item with
+    very many ratings is only ever summed, and the driver sees matrices as wide as
+    the basis, whatever the number of users and items. The sign of each dimension
+    is fixed, so the result is reproducible. ``(item_id, features)``.
     """
     r = written(ratings.select("user_id", "item_id", "rating"), "svd-ratings")
     m = dims + spare
-    value = lambda i: F.xxhash64("item_id", F.lit(seed + i)).cast("double") / float(1 << 63)
-    v = r.select("item_id").distinct().select("item_id", F.array(*[value(i) for i in range(m)]).alias("v"))
 
     def times(left: DataFrame, key: str, group: str) -> DataFrame:
-        rows = r.join(left, key)
         sums = [F.sum(F.col("rating") * F.col("v")[i]) for i in range(m)]
-        return rows.groupBy(group).agg(F.array(*sums).alias("v"))
-
-    def combined(table: DataFrame, c: np.ndarray) -> DataFrame:
-        columns = [sum((F.col("v")[i] * float(c[i, j]) for i in range(m)), F.lit(0.0)) for j in range(c.shape[1])]
-        return table.select("item_id", F.array(*columns).alias("v"))
-
-    def gram(table: DataFrame) -> np.ndarray:
-        cells = [F.sum(F.col("v")[i] * F.col("v")[j]) for i in range(m) for j in range(m)]
-        return np.array(table.agg(*cells).first(), dtype=float).reshape(m, m)
-
-    def orthonormal(table: DataFrame) -> DataFrame:
-        size, basis = np.linalg.eigh(gram(table))
-        scale = np.where(size > size.max() * 1e-14, 1 / np.sqrt(np.maximum(size, 1e-300)), 0.0)
-        return combined(table, basis * scale)
-
-    v = orthonormal(written(v, "svd-v"))
-    for _ in range(rounds):
-        v = orthonormal(written(times(times(v, "item_id", "user_id"), "user_id", "item_id"), "svd-v"))
-    v = written(v, "svd-v")
-    small = gram(times(v, "item_id", "user_id").withColumnRenamed("user_id", "item_id"))
-    order = np.argsort(np.linalg.eigvalsh(small))[::-1]
-    rotation = np.linalg.eigh(small)[1][:, order[:dims]]
-    ready = written(combined(v, rotation), "svd-v")
-    extremes = ready.agg(*[F.max_by(F.col("v")[i], F.abs(F.col("v")[i])) for i in range(dims)]).first()
+        return r.join(left.select(key, "v"), key).groupBy(group).agg(F.array(*sums).alias("v"))
+
+    start = F.array(*[F.xxhash64("item_id", F.lit(seed + i)).cast("double") / float(1 << 63) for i in range(m)])
+    first = written(r.select("item_id").distinct().select("item_id", start.alias("w")), "svd-start")
+    table = first.select("item_id", F.array().cast("array<double>").alias("b"), "w")
+    # The matrix seen from the basis; every round adds the columns of one block.
+    seen, leading = np.zeros((0, 0)), np.zeros(dims)
+    for i in range(rounds + 1):
+        sums = fold_products(table.select(F.concat("b", "w").alias("l"), F.col("w").alias("r")), "l", "r")
+        c, gram = sums[:-m], sums[-m:]
+        if i:
+            grown = np.zeros((len(c), len(c)))
+            grown[: len(seen), : len(seen)] = seen
+            grown[:, -m:] = c
+            grown[-m:, :] = c.T
+            seen, before = grown, leading
+            leading = np.linalg.eigvalsh((seen + seen.T) / 2)[::-1][:dims]
+            if i == rounds or np.abs(leading - before).max() <= tolerance * leading[0]:
+                break
+        # New directions: what the images add to the basis, made orthonormal.
+        fresh = whitener(gram - c.T @ c)
+        table = map_rows(table, ["b", "w"], "v", lambda b, w, c=c, t=fresh: (w - b @ c) @ t)
+        image = times(times(table, "item_id", "user_id"), "user_id", "item_id")
+        table = written(
+            table.select("item_id", F.concat("b", "v").alias("b")).join(
+                image.select("item_id", F.col("v").alias("w")), "item_id"
+            ),
+            "svd-basis",
+        )
+    inner = whitener(fold_products(table, "b", "b"))
+    power = inner.T @ seen @ inner
+    rotation = inner @ np.linalg.eigh((power + power.T) / 2)[1][:, ::-1][:, :dims]
+    vectors = written(map_rows(table.select("item_id", "b"), ["b"], "v", lambda b: b @ rotation), "svd-v")
+    extremes = vectors.agg(*[F.max_by(F.col("v")[i], F.abs(F.col("v")[i])) for i in range(dims)]).first()
     signed = [F.col("v")[i] * (-1.0 if extremes[i] < 0 else 1.0) for i in range(dims)]
-    return ready.select("item_id", F.array(*signed).alias("features"))
+    return vectors.select("item_id", F.array(*signed).alias("features"))
