@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_BYTES = 32 << 20
-_ROW_OVERHEAD = 64
+MAX_BROADCAST_BYTES = 64 << 20
+_ROW_OVERHEAD = 32
 
 
 def _width(field: T.StructField) -> Column:
