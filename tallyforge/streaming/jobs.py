@@ -7,6 +7,7 @@ per batch id).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -59,13 +60,19 @@ def show(df: DataFrame, checkpoint: str, mode: str = "complete", seconds: int |
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger(seconds)).start()
 
 
-def drain(query: StreamingQuery, timeout: float = 60.0) -> bool:
-    """Let the running batch finish, then stop. True when the query ended by itself."""
-    ended = query.awaitTermination(timeout)
+def drain(query: StreamingQuery, timeout: float = 60.0, grace: float = 30.0) -> bool:
+    """Wait for the query; after ``timeout`` let the running batch finish, then stop.
+
+    True when the query ended by itself. A batch still running after ``grace`` is
+    interrupted and repeated at the next start.
+    """
+    ended = bool(query.awaitTermination(timeout))
     if not ended:
-        query.processAllAvailable()
+        deadline = time.monotonic() + grace
+        while query.status["isTriggerActive"] and time.monotonic() < deadline:
+            time.sleep(0.05)
         query.stop()
-    return bool(ended)
+    return ended
 
 
 def progress_offsets(query: StreamingQuery) -> list[tuple[int, Any, Any]]:
