@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.joins import lookup_join
-from tallyforge.operators.ordering import global_index
+from tallyforge.operators.ordering import global_index, rank_within
+from tallyforge.session import written
 
 MAX_DENSE_WIDTH = 4096
 
@@ -47,12 +48,17 @@ class MixedEncoder:
         self.offsets: dict[str, int] = {}
 
     def fit(self, df: DataFrame) -> MixedEncoder:
+        """All dictionaries from one pass: distinct (column, value) pairs, ranked per column."""
+        cells = F.array(
+            *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in self.categories]
+        )
+        pairs = df.select(F.explode(cells).alias("p")).select("p.column", "p.value").distinct()
+        ranked = written(rank_within(pairs, ["column"], ["value"], "__rank"), "dictionaries")
+        self.widths = {r["column"]: r["n"] for r in ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
         at = 0
-        self.widths = {}
         for c in self.categories:
-            self.dictionaries[c] = dictionary(df, c)
+            self.dictionaries[c] = ranked.where(F.col("column") == c).select("value", (F.col("__rank") - 1).alias("idx"))
             self.offsets[c] = at
-            self.widths[c] = self.dictionaries[c].count()
             at += self.widths[c]
         self.category_width = at
         self.width = at + len(self.numbers)

@@ -25,10 +25,10 @@ def _content(raw: bytes) -> bytes:
 
 
 def _header(data: bytes, words: int, magic: int, file: str) -> np.ndarray:
-    head = np.frombuffer(data, dtype=">i4", count=words)
-    if head[0] != magic:
-        raise ValueError(f"{file}: magic number {head[0]}, expected {magic}")
-    return head
+    found = int.from_bytes(data[:4], "big")
+    if found != magic:
+        raise ValueError(f"{file}: magic number {found}, expected {magic}")
+    return np.frombuffer(data, dtype=">i4", count=words)
 
 
 def _image_rows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
