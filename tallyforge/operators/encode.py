@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.operators.joins import lookup_join
+from tallyforge.operators.joins import MAX_BROADCAST_BYTES, lookup_join, measured_bytes
 from tallyforge.operators.ordering import global_index, rank_within
 from tallyforge.session import written
 
@@ -55,9 +55,11 @@ class MixedEncoder:
         pairs = df.select(F.explode(cells).alias("p")).select("p.column", "p.value").distinct()
         ranked = written(rank_within(pairs, ["column"], ["value"], "__rank"), "dictionaries")
         self.widths = {r["column"]: r["n"] for r in ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        at = 0
+        at, small = 0, measured_bytes(ranked) <= MAX_BROADCAST_BYTES
         for c in self.categories:
             self.dictionaries[c] = ranked.where(F.col("column") == c).select("value", (F.col("__rank") - 1).alias("idx"))
+            if small:
+                self.dictionaries[c] = F.broadcast(self.dictionaries[c])
             self.offsets[c] = at
             at += self.widths[c]
         self.category_width = at
@@ -67,7 +69,7 @@ class MixedEncoder:
     def indexed(self, df: DataFrame) -> DataFrame:
         """``<category>_idx`` columns, each counted inside its own category."""
         for c in self.categories:
-            df = with_index(df, self.dictionaries[c], c, f"{c}_idx")
+            df = df.join(self.dictionaries[c].withColumnsRenamed({"value": c, "idx": f"{c}_idx"}), c)
         return df
 
     def positions(self, df: DataFrame) -> DataFrame:
