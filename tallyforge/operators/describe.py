@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -53,8 +53,8 @@ def member_lists(
 ) -> DataFrame:
     """Members of each key as sorted lists of about ``chunk`` elements.
 
-    Rows of a key go to ``ceil(size / chunk)`` buckets by hash, so the list of a hot
-    key is never built in one task; ``part`` numbers its pieces. Sizes come from a
+    Members must be distinct within a key. They go to ``ceil(size / chunk)`` buckets
+    by hash, so the list of a hot key is never built in one task; ``part`` numbers its pieces. Sizes come from a
     partially aggregated count.
     """
     parts = (
@@ -149,9 +149,3 @@ def purchase_report(purchases: DataFrame) -> DataFrame:
 def impute_sentinel(df: DataFrame, column: str, sentinel: int, replacement: Column) -> DataFrame:
     """Replace every sentinel by the given scalar."""
     return df.withColumn(column, F.when(F.col(column) == sentinel, replacement).otherwise(F.col(column)))
-
-
-def cumulative_small(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
-    """Running total over a table already known to be small (one row per component)."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(value).over(w))
