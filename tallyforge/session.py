@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,23 @@ def written(df, label: str):
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, so that Arrow functions find their modules wherever the
+    driver was started. Spark copies the archive; no path has to be shared."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyforge_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, names in sorted(os.walk(os.path.join(top, "tallyforge"))):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.relpath(full, top))
+    path = os.path.join(sc._temp_dir, "tallyforge.zip")
+    with open(path, "wb") as file:
+        file.write(packed.getvalue())
+    sc.addPyFile(path)
+    sc._tallyforge_shipped = True
