@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from tallyforge.llm.common import map_batches
 
-REMEMBERED = 700_000
+REMEMBERED = 120_000
 LONGEST_REMEMBERED = 64
 #: Bits of a place or an id within a packed number.
 PLACE = 32
@@ -67,8 +68,9 @@ class Codec:
             self.special[token["content"]] = token["id"]
             self.strings[token["id"]] = token["content"].encode()
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known: dict[str, bytes] = {}
-        self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")
+        self.known = _Remembered(self.word)
+        self.first = _Remembered(self.stretch)
+        self.later = _Remembered(lambda piece: self.stretch(" " + piece))
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one word. A queue entry is a rank and the place of its left symbol; it is
@@ -109,15 +111,12 @@ class Codec:
         return [s for s in symbols if s >= 0]
 
     def word(self, text: str) -> bytes:
-        found = self.known.get(text)
-        if found is None:
-            ids = self.merged(text.encode())
-            found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(text) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = found
-        return found
+        ids = self.merged(text.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def stretch(self, text: str) -> bytes:
+        """Ids of a part of a text that begins and ends where words do."""
+        return b"".join(map(self.known.__getitem__, WORDS.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """All ids of a text, four bytes each."""
@@ -137,19 +136,23 @@ class Codec:
         return b"".join([strings[i] for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
 
 
-class _Pieces(dict):
-    """Ids of the stretches between single spaces, by stretch, with what stands before each."""
+class _Remembered(dict):
+    """Results by argument, in two generations of bounded size: what is used again while
+    the younger one fills stays."""
 
-    def __init__(self, codec: Codec, lead: str):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.codec, self.lead = codec, lead
+        self.make, self.older = make, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        found = b"".join(map(self.codec.word, WORDS.findall(self.lead + piece)))
-        if len(piece) <= LONGEST_REMEMBERED:
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(text) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = found
+            self[text] = found
         return found
 
 

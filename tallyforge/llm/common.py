@@ -14,6 +14,9 @@ from tallyforge.session import written
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ROWS = 500
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,12 +27,13 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``work`` on every Arrow batch; one batch is in memory at a time."""
+    """``work`` on every Arrow batch, a few hundred rows at a time: long texts and what is
+    made of them stay small next to the batch itself."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for start in range(0, batch.num_rows, ROWS):
+                yield work(batch.slice(start, ROWS))
 
     return df.mapInArrow(each, schema)
 
