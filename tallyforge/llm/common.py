@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.session import written
+from tallyforge.session import ship_package, written
 
 #: White space of the word rules: blank and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,6 +35,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
             for start in range(0, batch.num_rows, ROWS):
                 yield work(batch.slice(start, ROWS))
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(each, schema)
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import ROWS, map_batches
+from tallyforge.session import ship_package
 
 BUCKETS = 4096
 WIDTH = 32
@@ -111,6 +112,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(sums[used, k]) for k in range(WIDTH))], names)
 
     names = ["bucket", *(f"v{k}" for k in range(WIDTH))]
+    ship_package(docs.sparkSession)
     partial = docs.select("text").mapInArrow(each, ", ".join(f"{n} bigint" for n in names))
     summed = partial.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names[1:])).collect()
     vectors = np.zeros((BUCKETS, WIDTH))
