@@ -9,6 +9,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.operators.ordering import rank_within
+
 
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -51,23 +53,16 @@ def shares(df: DataFrame, column: str) -> DataFrame:
 def member_lists(
     df: DataFrame, key: str, member: Sequence[str], chunk: int = 4096, name: str = "members"
 ) -> DataFrame:
-    """Members of each key as sorted lists of about ``chunk`` elements.
+    """Members of each key as sorted lists of at most ``chunk`` elements.
 
-    Members must be distinct within a key. They go to ``ceil(size / chunk)`` buckets
-    by hash, so the list of a hot key is never built in one task; ``part`` numbers its pieces. Sizes come from a
-    partially aggregated count.
+    ``part`` counts the lists of a key from 0 and follows from a member's rank, so the lists
+    laid end to end are the sorted list of all members, whatever the size of the key; no
+    task builds more than ``chunk`` elements at once.
     """
-    parts = (
-        count_by(df, key, name="__n")
-        .withColumn("__parts", F.ceil(F.col("__n") / chunk))
-        .where(F.col("__parts") > 1)
-        .select(key, "__parts")
-    )
-    bucket = F.pmod(F.xxhash64(*member), F.coalesce("__parts", F.lit(1)))
+    ranked = rank_within(df.select(key, *member), [key], list(member), "__rank")
     entry = F.struct(*member) if len(member) > 1 else F.col(member[0])
     return (
-        df.join(parts, key, "left")
-        .withColumn("part", bucket)
+        ranked.withColumn("part", F.floor((F.col("__rank") - 1) / chunk).cast("long"))
         .groupBy(key, "part")
         .agg(F.sort_array(F.collect_list(entry)).alias(name))
     )

@@ -19,6 +19,8 @@ from tallyforge.session import ensure_checkpoint
 
 _TIE, _PART, _POS = "__tie", "__part", "__pos"
 _ROW_BITS = (1 << 33) - 1
+#: Spark's own threshold (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 
 
 def _column(c: str | Column) -> Column:
@@ -92,8 +94,11 @@ def rank_within(
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], k: int, name: str = "rank"
 ) -> DataFrame:
-    """The first ``k`` rows of each key. Spark keeps at most ``k`` rows per key and
-    map task before the shuffle (WindowGroupLimit), which bounds a hot key."""
+    """The first ``k`` rows of each key. Up to ``GROUP_LIMIT`` Spark keeps at most ``k`` rows
+    per key and map task before the shuffle (WindowGroupLimit), which bounds a hot key; a
+    larger ``k`` gets full ranks, which many tasks make."""
+    if k > GROUP_LIMIT:
+        return rank_within(df, keys, order, name).where(F.col(name) <= k)
     w = Window.partitionBy(*keys).orderBy(*[_column(c) for c in order])
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 

@@ -112,8 +112,9 @@ def ratings_per_user(t: Tables) -> DataFrame:
     "AGG-11",
     with_views(
         "ratings",
-        """SELECT user_id, CAST(0 AS BIGINT) AS part,
-           string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM ratings GROUP BY user_id""",
+        """SELECT user_id, part, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items
+           FROM (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1) // 4096 AS part FROM ratings)
+           GROUP BY user_id, part""",
     ),
 )
 def items_of_each_user(t: Tables) -> DataFrame:
@@ -184,11 +185,12 @@ def user_activity_histogram(t: Tables) -> DataFrame:
         "years",
         """SELECT CAST(CASE WHEN 2000 - year >= 30 THEN 3 WHEN 2000 - year >= 20 THEN 2
                             WHEN 2000 - year >= 10 THEN 1 ELSE 0 END AS BIGINT) AS bin, count(*) AS n
-           FROM years WHERE 2000 - year BETWEEN 0 AND 100 GROUP BY 1""",
+           FROM years WHERE year <> 1900 AND 2000 - year BETWEEN 0 AND 100 GROUP BY 1""",
     ),
 )
 def item_age_bands(t: Tables) -> DataFrame:
-    ages = t.years.select(dates.age_in_years(F.col("year"), 2000).alias("age"))
+    dated = t.years.where("year <> 1900")  # the year that stands for none
+    ages = dated.select(dates.age_in_years(F.col("year"), 2000).alias("age"))
     return describe.edge_histogram(ages, "age", [0, 10, 20, 30, 100])
 
 
@@ -323,19 +325,17 @@ def implicit_signal(t: Tables) -> DataFrame:
 @query(
     "FN-1",
     """WITH toks AS (
-         SELECT id, unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []
-                                ELSE string_split(rtrim(text, ' '), ' ') END) AS token
-         FROM (SELECT doc_id AS id, text FROM documents))
-       SELECT id, count(*) AS tokens, CAST(count(*) FILTER (WHERE token = '') AS BIGINT) AS empty
-       FROM toks GROUP BY id""",
+         SELECT doc_id AS id, CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' OR text IS NULL THEN []
+                                   ELSE string_split(rtrim(text, ' '), ' ') END AS tokens FROM documents)
+       SELECT id, len(tokens) AS tokens, len(list_filter(tokens, lambda w: w = '')) AS empty FROM toks""",
 )
 def space_tokens(t: Tables) -> DataFrame:
-    toks = text.split_on_space(F.col("text"))
+    toks = F.coalesce(text.split_on_space(F.col("text")), F.array().cast("array<string>"))
     return t.lines.select(
         "id",
         F.size(toks).cast("long").alias("tokens"),
         F.size(F.filter(toks, lambda w: w == "")).cast("long").alias("empty"),
-    ).where("tokens > 0")
+    )
 
 
 @query(

@@ -55,9 +55,11 @@ def actual_and_predicted(t: Tables) -> DataFrame:
     "JN-3 FE-12",
     with_views(
         "ratings users vectors",
-        """, lists AS (SELECT user_id, string_agg(item_id || '=' || CAST(rating AS INTEGER), ',' ORDER BY item_id) AS rated
-                     FROM ratings GROUP BY user_id)
-        SELECT u.user_id, u.occupation, u.zip, rated, round(features[1], 6) AS first_factor
+        """, numbered AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY item_id, rating) - 1) // 4096 AS part
+                     FROM ratings),
+        lists AS (SELECT user_id, part, string_agg(item_id || '=' || CAST(rating AS INTEGER), ',' ORDER BY item_id) AS rated
+                     FROM numbered GROUP BY user_id, part)
+        SELECT u.user_id, u.occupation, u.zip, part, rated, round(features[1], 6) AS first_factor
         FROM users u JOIN lists USING (user_id) JOIN vectors v ON v.id = u.user_id""",
     ),
 )
@@ -69,7 +71,7 @@ def users_with_ratings_and_factors(t: Tables) -> DataFrame:
         t.users.join(lists, "user_id")
         .join(factors, "user_id")
         .select(
-            "user_id", "occupation", "zip",
+            "user_id", "occupation", "zip", "part",
             F.array_join(rated, ",").alias("rated"),
             F.round(F.col("features")[0], 6).alias("first_factor"),
         )
@@ -98,16 +100,17 @@ def rating_lists_match_rows(t: Tables) -> DataFrame:
         "items",
         """, names AS (SELECT kind, CAST(row_number() OVER (ORDER BY kind) - 1 AS INTEGER) AS pos
                      FROM (SELECT DISTINCT p_type AS kind FROM part))
-        SELECT item_id, string_agg(names.kind, '|' ORDER BY pos) AS tags
-        FROM items, names WHERE (p_size >> pos) & 1 = 1 GROUP BY item_id""",
+        SELECT item_id, coalesce(string_agg(names.kind, '|' ORDER BY pos), '') AS tags
+        FROM items LEFT JOIN names ON (p_size >> pos) & 1 = 1 GROUP BY item_id""",
     ),
 )
 def item_tags(t: Tables) -> DataFrame:
-    """Indicator flags to sorted lists of names."""
+    """Indicator flags to sorted lists of names; an item without flags has an empty list."""
     names = encode.dictionary(t.items, "kind").select(F.col("value").alias("tag"), F.col("idx").alias("pos"))
-    on = t.items.select("item_id", F.posexplode("flags").alias("pos", "flag")).where("flag = 1")
-    tagged = joins.lookup_join(on.withColumn("pos", F.col("pos").cast("long")), names, "pos")
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "tag")))
+    places = F.transform("flags", lambda flag, i: F.when(flag == 1, i.cast("long")))
+    on = t.items.select("item_id", F.explode_outer(F.array_compact(places)).alias("pos"))
+    tagged = joins.lookup_join(on, names, "pos", "left")
+    ordered = F.sort_array(F.collect_list(F.when(F.col("tag").isNotNull(), F.struct("pos", "tag"))))
     return tagged.groupBy("item_id").agg(
         F.array_join(F.transform(ordered, lambda p: p["tag"]), "|").alias("tags")
     )
@@ -242,8 +245,9 @@ def title_terms(t: Tables) -> DataFrame:
     with_views(
         "items",
         _TERMS_SQL
-        + """SELECT item_id, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS terms
-             FROM (SELECT DISTINCT item_id, idx FROM toks JOIN terms USING (term)) GROUP BY item_id""",
+        + """SELECT item_id, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS terms
+             FROM (SELECT DISTINCT items.item_id, idx FROM items LEFT JOIN toks USING (item_id) LEFT JOIN terms USING (term))
+             GROUP BY item_id""",
     ),
 )
 def title_vectors(t: Tables) -> DataFrame:

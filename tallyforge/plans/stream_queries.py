@@ -11,14 +11,11 @@ from tallyforge.plans.registry import query
 from tallyforge.plans.views import Tables, with_views
 from tallyforge.session import fresh_path
 from tallyforge.sources import delimited, messages, sinks
-from tallyforge.sources.binary import read_files
 from tallyforge.streaming import jobs
 
-TIMEOUT = 600.0
-
 
 def _stream(t: Tables, table: str) -> DataFrame:
-    """A table as a file stream, a file per batch at most."""
+    """A table as a file stream."""
     schema = t.read(table).schema
     return messages.stream(
         t.spark, "parquet", {"maxFilesPerTrigger": "1000", "pathGlobFilter": "*.parquet"}, schema, f"{t.sf_dir}/{table}*.parquet"
@@ -51,10 +48,18 @@ def space_word_count(t: Tables) -> DataFrame:
 
 @query("STR-1 STR-2 STR-5 STR-6 STR-8 STR-9", _SPACE_SQL)
 def streamed_word_count(t: Tables) -> DataFrame:
-    """Final state of the running count."""
-    out = fresh_path(t.spark, "word-states")
-    counts = jobs.word_counts(_stream(t, "documents"), "text")
-    jobs.drain(jobs.write_states(counts, out, f"{out}-checkpoint"), TIMEOUT)
+    """Final state of the running count, over several batches and a restart: the documents
+    arrive in slices, two at first; the job ends, the others arrive, and it goes on from its
+    checkpoint."""
+    out, inbox = fresh_path(t.spark, "word-states"), fresh_path(t.spark, "word-inbox")
+    docs = t.documents.select("doc_id", "text")
+    slices = 4
+    number = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(slices)), F.lit(0))
+    for start in range(0, slices, 2):
+        arrived = docs.withColumn("slice", number).where(F.col("slice").between(start, start + 1))
+        arrived.repartition("slice").drop("slice").write.mode("append").parquet(inbox)
+        lines = messages.stream(t.spark, "parquet", {"maxFilesPerTrigger": "1"}, docs.schema, inbox)
+        jobs.drain(jobs.write_states(jobs.word_counts(lines, "text"), out, f"{out}-checkpoint"))
     return jobs.last_state(t.spark, out)
 
 
@@ -65,11 +70,28 @@ def streamed_word_count(t: Tables) -> DataFrame:
 def streamed_user_state(t: Tables) -> DataFrame:
     out = fresh_path(t.spark, "user-state")
     table = sinks.KeyedTable(t.spark, out, "key", ["state"])
-    state = jobs.keyed_state(_stream(t, "events"), "user_id", jobs.add_to_state)
+    state = jobs.keyed_state(_stream(t, "events"), "user_id", jobs.add_to_state, combine=lambda values: values.sum())
     query_ = jobs.start(
         state, lambda batch, i: table.upsert(batch, i, F.col("state")), f"{out}-checkpoint", "update"
     )
-    jobs.drain(query_, TIMEOUT)
+    jobs.drain(query_)
+    return table.read()
+
+
+def _greatest_so_far(values: list[int], old: int | None) -> int:
+    """Greatest value so far: no sum of values would give it."""
+    return max(values if old is None else [*values, old])
+
+
+@query("STR-4", "SELECT CAST(user_id AS VARCHAR) AS key, max(event_id) AS state FROM events GROUP BY user_id")
+def streamed_last_event(t: Tables) -> DataFrame:
+    """A state that needs the values themselves."""
+    out = fresh_path(t.spark, "last-event")
+    table = sinks.KeyedTable(t.spark, out, "key", ["state"])
+    state = jobs.keyed_state(_stream(t, "events"), "user_id", _greatest_so_far, F.col("event_id"))
+    jobs.drain(
+        jobs.start(state, lambda batch, i: table.upsert(batch, i, F.col("state")), f"{out}-checkpoint", "update")
+    )
     return table.read()
 
 
@@ -140,7 +162,7 @@ def last_log_per_user(t: Tables) -> DataFrame:
 def streamed_log_table(t: Tables) -> DataFrame:
     out = fresh_path(t.spark, "log-table")
     table = sinks.KeyedTable(t.spark, out, "row_key", ["content", "level"])
-    jobs.drain(jobs.log_upserts(_log_messages(_stream(t, "events")), table, f"{out}-rejects", f"{out}-checkpoint"), TIMEOUT)
+    jobs.drain(jobs.log_upserts(_log_messages(_stream(t, "events")), table, f"{out}-rejects", f"{out}-checkpoint"))
     return table.read()
 
 
@@ -266,17 +288,18 @@ def purchases_read_back(t: Tables) -> DataFrame:
 
 @query(
     "SRC-9 SNK-2",
-    """SELECT CAST(label AS BIGINT) AS id, round(sum(embedding[1]::DOUBLE), 5) AS x, round(sum(embedding[2]::DOUBLE), 5) AS y
+    """SELECT CAST(label AS BIGINT) AS id, round(sum(embedding[1]::DOUBLE), 5) AS x, round(sum(embedding[64]::DOUBLE), 5) AS y
        FROM embeddings GROUP BY 1""",
 )
 def points_read_back(t: Tables) -> DataFrame:
+    """All 64 positions are written; the typed reader takes three of the 65 columns."""
     path = fresh_path(t.spark, "points")
-    flat = sinks.spread(t.vectors.select(F.col("label").cast("long").alias("id"), "features"), "features", ["x", "y"])
+    names = [f"x{i}" for i in range(64)]
+    flat = sinks.spread(t.vectors.select(F.col("label").cast("long").alias("id"), "features"), "features", names)
     sinks.write_delimited(flat, path, " ")
-    back = delimited.read_centres(t.spark, path)
-    return back.groupBy("id").agg(
-        F.round(F.sum(F.col("features")[0]), 5).alias("x"), F.round(F.sum(F.col("features")[1]), 5).alias("y")
-    )
+    schema = "id long, " + ", ".join(f"{n} double" for n in names)
+    back = delimited.read_columns(t.spark, path, schema, " ").select("id", "x0", "x63")
+    return back.groupBy("id").agg(F.round(F.sum("x0"), 5).alias("x"), F.round(F.sum("x63"), 5).alias("y"))
 
 
 @query(
@@ -290,13 +313,6 @@ def single_file_read_back(t: Tables) -> DataFrame:
     return delimited.read_columns(t.spark, path, "label long, n long")
 
 
-@query("SRC-11")
-def file_inventory(t: Tables) -> DataFrame:
-    """Names and sizes of the data files; their content is pruned and never read."""
-    files = read_files(t.spark, f"{t.sf_dir}/*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
 @query(
     "FN-9 STR-7",
     """SELECT CAST(epoch(ts) AS BIGINT) // 86400 AS day, count(*) AS n, min(event_id) AS from_offset,

@@ -104,7 +104,8 @@ def _gray(image: dict, width: int, height: int) -> np.ndarray:
 def read_pictures(spark: SparkSession, path: str, width: int = 50, height: int = 50) -> DataFrame:
     """A folder of pictures as ``(file, features)``: gray, resized, row by row.
 
-    Spark decodes; the rest is array arithmetic on each decoded image.
+    Spark decodes; the rest is array arithmetic on each decoded image. A file that is no
+    readable picture has a row with null features.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +114,10 @@ def read_pictures(spark: SparkSession, path: str, width: int = 50, height: int =
             yield pa.RecordBatch.from_pydict(
                 {
                     "file": [i["origin"] for i in images],
-                    "features": [_gray(i, width, height) for i in images],
+                    "features": [_gray(i, width, height) if i["height"] > 0 else None for i in images],
                 },
                 schema=pa.schema([("file", pa.string()), ("features", pa.list_(pa.float64()))]),
             )
 
-    images = spark.read.format("image").option("dropInvalid", "true").load(path)
+    images = spark.read.format("image").option("dropInvalid", "false").load(path)
     return images.mapInArrow(run, "file string, features array<double>")

@@ -57,16 +57,24 @@ def decoded(df: DataFrame) -> DataFrame:
 
 
 def from_offsets(messages: DataFrame, starts: Mapping[int, int]) -> DataFrame:
-    """Replay all partitions; those named start at their offset. A pushed-down filter."""
-    floor = F.lit(0)
+    """Replay all partitions; those named start at their offset, the others at 0."""
+    others = ~F.col("partition").isin(list(starts)) & (F.col("offset") >= 0) if starts else F.col("offset") >= 0
+    return messages.where(_at_or_after(starts, others)).where(F.col("offset") >= min([0, *starts.values()]))
+
+
+def _at_or_after(starts: Mapping[int, int], rest: Column) -> Column:
+    """One range of offsets per named partition, or ``rest``."""
     for partition, offset in starts.items():
-        floor = F.when(F.col("partition") == partition, F.lit(offset)).otherwise(floor)
-    return messages.where(F.col("offset") >= floor)
+        rest = rest | ((F.col("partition") == partition) & (F.col("offset") >= offset))
+    return rest
 
 
 def pinned(messages: DataFrame, starts: Mapping[int, int]) -> DataFrame:
-    """Replay only the named partitions, each from its offset."""
-    return from_offsets(messages.where(F.col("partition").isin(list(starts))), starts)
+    """Replay only the named partitions, each from its offset. The least offset is a filter
+    of its own, which the scan gets too."""
+    if not starts:
+        return messages.where(F.lit(False))
+    return messages.where(_at_or_after(starts, F.lit(False))).where(F.col("offset") >= min(starts.values()))
 
 
 def offset_ranges(messages: DataFrame) -> DataFrame:

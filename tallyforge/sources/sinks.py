@@ -7,25 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.joins import measured_bytes
-
-MAX_SINGLE_FILE_BYTES = 256 << 20
-
 
 def write_delimited(df: DataFrame, path: str, sep: str = " ", **options: str) -> None:
     """Overwrite ``path`` with delimited text, one file per partition."""
     df.write.mode("overwrite").options(**options).csv(path, sep=sep)
 
 
-def write_single(df: DataFrame, path: str, sep: str = ",") -> bool:
-    """Overwrite ``path`` with one text file when the table measures small.
-
-    A larger table keeps its partitions, as one task should not write it all.
-    Returns whether there is a single file.
-    """
-    single = measured_bytes(df) <= MAX_SINGLE_FILE_BYTES
-    write_delimited(df.coalesce(1) if single else df, path, sep)
-    return single
+def write_single(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Overwrite ``path`` with one text file, at any size. One task writes it: for reports;
+    tables go through ``write_delimited``, which writes a file per partition."""
+    write_delimited(df.coalesce(1), path, sep)
 
 
 def spread(df: DataFrame, array: str, names: Sequence[str]) -> DataFrame:
@@ -43,25 +34,31 @@ def latest_per_key(df: DataFrame, key: str, order: Column, values: Sequence[str]
 class KeyedTable:
     """Last write wins per key, as folders of collapsed batches.
 
-    A batch costs its own size: it is collapsed per key and written to its own
-    ``batch_id`` folder, which a replay of the same batch simply overwrites.
-    Readers take the newest row of each key. ``compact`` folds old batches into one.
+    A batch costs its own size: it is collapsed per key and written to the folder of its
+    ``run`` (one per checkpoint) and ``batch_id``, which a replay of the same batch simply
+    overwrites and a new checkpoint never meets. Rows keep the order they came with, and
+    readers take the greatest of each key, so batches of different runs can be compared.
+    The order must compare rows of one key: an offset does where a key lives in one
+    partition. ``compact`` folds all batches into one.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, values: Sequence[str]):
         self.spark, self.path, self.key, self.values = spark, path.rstrip("/"), key, list(values)
 
-    def upsert(self, batch: DataFrame, batch_id: int, order: Column) -> None:
-        rows = latest_per_key(batch, self.key, order, self.values).drop("version")
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def upsert(self, batch: DataFrame, batch_id: int, order: Column, run: str = "0") -> None:
+        rows = latest_per_key(batch, self.key, order, self.values)
+        rows.write.mode("overwrite").parquet(f"{self.path}/run={run}/batch_id={batch_id}")
 
     def batches(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
     def read(self) -> DataFrame:
-        return latest_per_key(self.batches(), self.key, F.col("batch_id"), self.values).drop("version")
+        return self._newest().drop("version")
+
+    def _newest(self) -> DataFrame:
+        return latest_per_key(self.batches(), self.key, F.col("version"), self.values)
 
     def compact(self, target: str) -> KeyedTable:
-        """The current rows as batch -1 of a new table; later batches go there."""
-        self.read().write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id=-1")
+        """The current rows as one batch of a new table; later batches go there."""
+        self._newest().write.mode("overwrite").parquet(f"{target.rstrip('/')}/run=compact/batch_id=0")
         return KeyedTable(self.spark, target, self.key, self.values)

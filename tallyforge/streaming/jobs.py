@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from typing import Any
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,11 +40,15 @@ def cap_per_trigger(rate: int, partitions: int, seconds: int) -> dict[str, str]:
 def start(
     df: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", seconds: int | None = None
 ) -> StreamingQuery:
-    """Run ``action`` on every non-empty batch."""
+    """Run ``action`` on every non-empty batch; a batch is computed once."""
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            action(batch, batch_id)
+        kept = batch.persist()  # the test for rows and the action read the same ones
+        try:
+            if not kept.isEmpty():
+                action(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return (
         df.writeStream.foreachBatch(act)
@@ -60,12 +65,16 @@ def show(df: DataFrame, checkpoint: str, mode: str = "complete", seconds: int |
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger(seconds)).start()
 
 
-def drain(query: StreamingQuery, timeout: float = 60.0, grace: float = 30.0) -> bool:
-    """Wait for the query; after ``timeout`` let the running batch finish, then stop.
+def drain(query: StreamingQuery, timeout: float | None = None, grace: float = 30.0) -> bool:
+    """Wait until the query has worked off its source and ended by itself.
 
-    True when the query ended by itself. A batch still running after ``grace`` is
-    interrupted and repeated at the next start.
+    For endless sources ``timeout`` says when to let the running batch finish and stop; the
+    result is then False. A batch still running after ``grace`` is interrupted and repeated
+    at the next start.
     """
+    if timeout is None:
+        query.awaitTermination()
+        return True
     ended = bool(query.awaitTermination(timeout))
     if not ended:
         deadline = time.monotonic() + grace
@@ -115,27 +124,38 @@ def last_state(spark: SparkSession, path: str) -> DataFrame:
 # ---- arbitrary per-key state
 
 
-def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts per Arrow batch, so that a hot key crosses the shuffle as few rows."""
-    for frame in frames:
-        yield frame.groupby("key", as_index=False, sort=False)["n"].sum()
-
+def keyed_state(
+    events: DataFrame,
+    key: str,
+    update: Callable[[list[Any], Any], Any],
+    value: Column | None = None,
+    kind: str = "long",
+    combine: Callable[[pd.Series], Any] | None = None,
+) -> DataFrame:
+    """Per-key state ``update(new values, old state) -> new state`` over the column ``value``
+    (1 for every row if there is none); values and state are of type ``kind``.
+
+    ``update`` sees every value of a batch at once. ``combine`` folds the values of a key
+    per Arrow batch before the shuffle; give it where ``update`` allows that, as it lets a
+    hot key cross as few rows.
+    """
+    given = F.lit(1) if value is None else value
+    pairs = events.select(F.col(key).cast("string").alias("key"), given.cast(kind).alias("value"))
 
-def keyed_state(events: DataFrame, key: str, update: Callable[[list[int], int | None], int]) -> DataFrame:
-    """Per-key state ``update(new values, old state) -> new state``; ``update`` must be
-    associative over values, because values are summed per task before the shuffle."""
-    pairs = events.select(F.col(key).cast("string").alias("key"), F.lit(1).cast("long").alias("n"))
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.groupby("key", as_index=False, sort=False, dropna=False)["value"].agg(combine)
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        values = [int(v) for frame in frames for v in frame["n"]]
+        values = [v for frame in frames for v in frame["value"].tolist()]
         new = update(values, state.get[0] if state.exists else None)
         state.update((new,))
         yield pd.DataFrame({"key": [k[0]], "state": [new]})
 
-    return (
-        pairs.mapInPandas(_combine, pairs.schema)
-        .groupBy("key")
-        .applyInPandasWithState(step, "key string, state long", "state long", "update", GroupStateTimeout.NoTimeout)
+    if combine is not None:
+        pairs = pairs.mapInPandas(fold, pairs.schema)
+    return pairs.groupBy("key").applyInPandasWithState(
+        step, f"key string, state {kind}", f"state {kind}", "update", GroupStateTimeout.NoTimeout
     )
 
 
@@ -150,13 +170,11 @@ def add_to_state(values: list[int], old: int | None) -> int:
 def log_upserts(stream: DataFrame, table: KeyedTable, rejects: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
     """Parse JSON rows, keep the last per key, upsert; broken rows go to ``rejects``."""
 
+    run = f"{crc32(checkpoint.encode()):08x}"
+
     def act(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            good, bad = messages.good_and_bad(messages.parsed_rows(batch))
-            table.upsert(messages.log_columns(good), batch_id, F.struct("offset", "partition"))
-            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        good, bad = messages.good_and_bad(messages.parsed_rows(batch))
+        table.upsert(messages.log_columns(good), batch_id, F.struct("offset", "partition"), run)
+        bad.write.mode("overwrite").parquet(f"{rejects}/run={run}/batch_id={batch_id}")
 
     return start(stream, act, checkpoint, "append", seconds)

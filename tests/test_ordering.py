@@ -44,10 +44,27 @@ def test_index_of_equal_rows(spark):
 
 def test_chunked_lists(spark):
     df = _hot(spark)
-    lists = describe.member_lists(df, "k", ["id"], chunk=100)
-    assert lists.where("k = 0").count() >= 8
-    back = sorted(r[0] for r in lists.select(F.explode("members")).collect())
-    assert back == list(range(3000))
+    whole = {r.k: r.members for r in describe.member_lists(df, "k", ["id"], chunk=5000).collect()}
+    for chunk in (2, 100):
+        parts = describe.member_lists(df, "k", ["id"], chunk=chunk).orderBy("k", "part").collect()
+        assert all(len(r.members) <= chunk for r in parts)
+        laid = {}
+        for r in parts:
+            assert r.part * chunk == len(laid.setdefault(r.k, []))
+            laid[r.k] += r.members
+        assert laid == whole and sorted(x for m in whole.values() for x in m) == list(range(3000))
+
+
+def test_top_beyond_the_group_limit(spark):
+    df = _hot(spark)
+    got = ordering.top_per_key(df, ["k"], [F.desc("id")], 1200)
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.k, []).append(r.id)
+    mine = {}
+    for r in got.orderBy("k", "rank").collect():
+        mine.setdefault(r.k, []).append(r.id)
+    assert mine == {k: sorted(v, reverse=True)[:1200] for k, v in want.items()}
 
 
 def test_histogram(spark):

@@ -49,6 +49,34 @@ def test_key_state_over_batches(spark, tmp_path):
     assert {r.key: r.state for r in table.read().collect()} == {"x": 3, "y": 1}
 
 
+def test_state_sees_values_and_source_is_read_once(spark, tmp_path):
+    src = tmp_path / "in"
+    _add(src, "1.txt", ["x 5", "x 2", "y 7"])
+    _add(src, "2.txt", ["x 3", "y 9"])
+    rows = _lines(spark, src).select(F.split("value", " ")[0].alias("k"), F.split("value", " ")[1].alias("v"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    rows = rows.mapInPandas(counted, rows.schema)
+    state = jobs.keyed_state(rows, "k", lambda values, old: max(values + ([] if old is None else [old])), F.col("v"))
+    table = sinks.KeyedTable(spark, str(tmp_path / "out"), "key", ["state"])
+    jobs.drain(jobs.start(state, lambda b, i: table.upsert(b, i, F.col("state")), str(tmp_path / "c"), "update"))
+    assert {r.key: r.state for r in table.read().collect()} == {"x": 5, "y": 9}
+    assert read.value == 5
+
+
+def test_new_checkpoint_keeps_old_batches(spark, tmp_path):
+    table = sinks.KeyedTable(spark, str(tmp_path / "t"), "k", ["v"])
+    for run, v, o in (("a", "old", 1), ("b", "new", 2)):
+        batch = spark.createDataFrame([("x", v, o), (run, v, o)], "k string, v string, o long")
+        table.upsert(batch, 0, F.col("o"), run)
+    assert {r.k: r.v for r in table.read().collect()} == {"x": "new", "a": "old", "b": "new"}
+
+
 def _message(key, content, level="INFO"):
     return json.dumps({"rowKey": key, "rowData": {"loginfo": {"content": content, "level": level}}})
 
@@ -75,7 +103,7 @@ def test_log_table(spark, tmp_path):
     assert spark.read.parquet(rejects).count() == 1
     before = sorted(table.read().collect())
     batch = spark.createDataFrame([("b", "two", "WARN", 5)], "row_key string, content string, level string, o long")
-    table.upsert(batch, 1, F.col("o"))
+    table.upsert(batch, 1, F.struct(F.col("o").alias("offset"), F.lit(0).alias("partition")))
     assert sorted(table.read().collect()) == before
     assert sorted(table.compact(str(tmp_path / "compact")).read().collect()) == before
 

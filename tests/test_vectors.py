@@ -96,6 +96,21 @@ def test_scaler_and_encoder(spark):
     sparse = {(r.c, r.d): r.features.toArray().tolist() for r in e.vector_features(rows).collect()}
     assert sparse == got
     unseen = spark.createDataFrame([("z", "x", 1.0)], rows.schema)
-    assert e.dense_features(unseen).count() == 0
-    with pytest.raises(ValueError):
-        encode.hot(F.lit(1), 10_000_000)
+    odd = unseen.unionByName(spark.createDataFrame([(None, "y", 2.0)], rows.schema))
+    assert {r.c: r.features for r in e.dense_features(odd).collect()} == {"z": [0, 0, 1, 0, 1], None: [0, 0, 0, 1, 2]}
+    assert {r.c: r.features.toArray().tolist() for r in e.vector_features(odd).collect()} == {"z": [0, 0, 1, 0, 1], None: [0, 0, 0, 1, 2]}
+    assert {r.c: r.hot for r in e.positions(odd).collect()} == {"z": [2], None: [3]}
+    fitted = encode.MixedEncoder(["c", "d"], ["n"]).fit(odd)
+    assert fitted.widths == {"c": 1, "d": 2} and fitted.dense_features(odd).count() == 2
+
+
+def test_wide_dictionaries_and_empty_bags(spark):
+    many = spark.range(5000).select(F.format_string("v%04d", "id").alias("c"), F.lit(1.0).alias("n"))
+    e = encode.MixedEncoder(["c"], ["n"]).fit(many)
+    vectors = e.vector_features(many.limit(3)).collect()
+    assert e.width == 5001 and all(r.features.size == 5001 and r.features.numNonzeros() == 2 for r in vectors)
+    assert len(e.dense_features(many.limit(1)).first().features) == 5001
+    texts = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["unknown"])], "id long, w array<string>")
+    terms = encode.term_dictionary(texts.where("id = 1"), F.col("w"))
+    bags = {r.id: r.terms for r in encode.bag_of_terms(texts, "id", F.col("w"), terms).collect()}
+    assert bags == {1: [0, 1], 2: [], 3: [], 4: []}
