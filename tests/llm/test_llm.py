@@ -1,0 +1,413 @@
+"""The operators of ``tallyforge.llm`` against brute force, libraries and odd rows."""
+
+import hashlib
+import os
+import random
+import re
+import struct
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from tallyforge.llm import (  # noqa: E402
+    bpe,
+    decontaminate,
+    html_text,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filters,
+)
+from tallyforge.llm.common import components  # noqa: E402
+from tallyforge.llm.queries import QUERIES, SQL, vocabulary  # noqa: E402
+
+DATA = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, `ids` string, `n` int"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
+
+def prose(seed: int, n: int = 60) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(90)) for _ in range(n))
+
+
+def odd_rows():
+    """Nulls in every column, empty and blank texts, repeated rows, one very long text."""
+    text = prose(1)
+    return [
+        (None, None, None, None, None, None, None),
+        (1, None, "en", "a", 0, "x", 1),
+        (2, "", "en", None, 0, "x", 1),
+        (3, " \n\t ", "en", "a", 4, "x", 1),
+        (4, text, "en", "a", len(text), "x", 1),
+        (4, text, "en", "a", len(text), "x", 1),
+        (None, text, "en", "a", len(text), "x", 1),
+        (5, prose(2, 40_000), "en", "b", 1, None, None),
+        (6, "x" * 100_000, "en", "b", 1, None, None),
+        (7, "日本語 text <|endoftext|> <s> é̂ 😀\n" * 3, "ja", "b", 1, None, None),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(odd_rows(), DOCS).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def library_bpe():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+
+
+class TestBpe:
+    def test_equals_the_library(self):
+        ours, theirs = bpe.Codec(vocabulary("byte_bpe_50k.json")), library_bpe()
+        rng = random.Random(4)
+        texts = [r[1] or "" for r in odd_rows()] + ["  a  b", "a \x1c b\x85 c\xa0 d", "abc\n \ndef \n", " ", "don't I'LL'll"]
+        texts += ["".join(rng.choice(" \n\tab'.sé1<|") for _ in range(200)) for _ in range(200)]
+        for text in texts:
+            want = theirs.encode(text, add_special_tokens=False).ids
+            assert ours.encode(text) == struct.pack(f"<{len(want)}I", *want)
+            assert ours.decode(ours.encode(text)) == theirs.decode(want, skip_special_tokens=False)
+
+    def test_query_digests(self, spark):
+        rows = {r["doc_id"]: r for r in QUERIES["op1_bpe_round_trip"](spark, DATA).collect()}
+        theirs = library_bpe()
+        for doc in spark.read.parquet(f"{DATA}/documents.parquet").collect():
+            ids = theirs.encode(doc["text"], add_special_tokens=False).ids
+            row = rows[doc["doc_id"]]
+            assert row["n_tokens"] == len(ids)
+            assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+            assert row["decoded_sha256"] == hashlib.sha256(doc["text"].encode()).hexdigest()
+
+    def test_odd_rows(self, docs, none):
+        path = vocabulary("byte_bpe_50k.json")
+        back = bpe.decode(bpe.encode(docs, path, ["doc_id"]), path).collect()
+        assert sorted(r["decoded"] for r in back) == sorted(r[1] or "" for r in odd_rows())
+        assert bpe.decode(bpe.encode(none, path, ["doc_id"]), path).count() == 0
+
+
+class TestTokenCounts:
+    def test_spliced_equals_whole(self):
+        use = token_counts.counter(vocabulary("piece_bpe_32k.model"))
+        assert use.splits
+        rng = random.Random(5)
+        texts = ["".join(rng.choice("ab é\n▁日 ") for _ in range(5000)) for _ in range(20)]
+        texts += [prose(3, 5000), "a" * 30_000, "  " * 9000, "x  y " * 4000, "日本語" * 5000 + " b c"]
+        for text in texts:
+            assert use.spliced(text, 700, 16) == len(use.model.encode(text))
+
+    def test_query_and_odd_rows(self, spark, docs, none):
+        model = token_counts.counter(vocabulary("piece_bpe_32k.model")).model
+        found = token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model")).collect()
+        want = sorted((len((r[1] or "").encode()), len(model.encode(r[1] or ""))) for r in odd_rows())
+        assert sorted((r["n_bytes"], r["n_tokens"]) for r in found) == want
+        assert all(r["over_limit"] == (r["n_tokens"] > 4096) for r in found)
+        assert token_counts.count_tokens(none, vocabulary("piece_bpe_32k.model")).count() == 0
+
+
+class TestQualityRules:
+    def test_equals_sql_with_low_limits(self, spark):
+        import duckdb
+
+        rows = [(i, f"shared line {i % 3} 12\n{prose(i, 25)}\n{'again ' * 9}", "en", f"s{i % 2}", 1, None, None) for i in range(40)]
+        rows += [(90 + i, "Shared  LINE 0 77\n" * 30, "en", "s0", 1, None, None) for i in range(3)] + odd_rows()
+        given = spark.createDataFrame(rows, DOCS)
+        got = quality_rules.judged(given, share=0.2, texts=3).select("doc_id", *quality_rules.COUNTS).toPandas()
+        con = duckdb.connect()
+        con.register("documents", given.toPandas())
+        want = con.sql(quality_rules.sql(share=0.2, texts=3)).df()[list(got.columns)]
+        order = lambda df: sorted(map(tuple, df.astype(object).where(df.notna(), None).values.tolist()), key=repr)
+        assert [tuple(map(str, r)) for r in order(got)] == [tuple(map(str, r)) for r in order(want)]
+        assert got.n_removed_words.sum() > 0 and not got.kept.all() and got.kept.any()
+
+    def test_no_python_in_the_plan(self, docs):
+        plan = quality_rules.judged(docs)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+    def test_kept_columns_and_empty(self, docs, none):
+        assert quality_rules.kept(docs).columns == docs.columns
+        assert sorted(r["doc_id"] or 0 for r in quality_rules.kept(docs).collect()) == [0, 4, 4, 5]
+        assert quality_rules.kept(none).count() == 0
+
+
+class TestToxicity:
+    def test_self_kernel_and_tolerance(self):
+        def brute(s, t):
+            from itertools import combinations
+
+            def phi(x):
+                out = {}
+                for c in combinations(range(len(x)), 3):
+                    key = tuple(x[i] for i in c)
+                    out[key] = out.get(key, 0) + toxicity.DECAY ** (c[-1] - c[0] + 1)
+                return out
+
+            a, b = phi(s), phi(t)
+            return sum(v * b.get(k, 0) for k, v in a.items())
+
+        for s in ("idiot", "aaaa", "disgusting", "abcabcabc"):
+            assert toxicity.self_kernel(toxicity.codes([s]))[0] == pytest.approx(brute(s, s))
+            norm = (brute(s, s) * brute("trashing", "trashing")) ** 0.5
+            assert toxicity.kernel([s], ["trashing"])[0, 0] == pytest.approx(brute(s, "trashing") / norm)
+        assert {"idiot", "i.d.i.o.t", "scum"} <= toxicity.units("I.D.I.O.T, s c u m")
+
+    def test_learns_and_odd_rows(self, spark, docs, none):
+        rng = random.Random(8)
+        bad = ["idiot", "moron", "scumbag"]
+        rows = [(i, prose(i, rng.randrange(1, 60)) + f" {rng.choice(bad)}" * (i % 4 == 0), int(i % 4 == 0)) for i in range(200)]
+        given = spark.createDataFrame(rows, "doc_id long, text string, label int")
+        scorer = toxicity.fit(given.drop("label"), given.select("doc_id", "label").where("doc_id < 150"))
+        tests = [(1, "you idiot"), (2, "you id.iot"), (3, prose(999, 30)), (4, None), (5, "")]
+        got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(tests, "doc_id long, text string"), scorer).collect()}
+        assert got[1] > 0.5 > got[3] and got[2] > 0.5 and got[4] == got[5] and 0 <= got[4] <= 1
+        assert toxicity.score(docs, scorer).count() == len(odd_rows())
+        empty = toxicity.fit(none, given.select("doc_id", "label").limit(0))
+        assert toxicity.score(none, empty).count() == 0
+
+
+class TestUrlFilters:
+    CASES = [
+        ("http://A.com/x?y", "a.com", "/x", "com/", "allow"),
+        ("https://example.com/en/7", "example.com", "/en/7", "example.com/en/", "block"),
+        ("https://m.example.com/en/7#t", "m.example.com", "/en/7", "example.com/en/", "block"),
+        ("https://www.example.com/en/7", "www.example.com", "/en/7", "www.example.com/en/", "allow"),
+        ("http://a.net/fr/1", "a.net", "/fr/1", "net/fr/", "block"),
+        ("http://a.net/en/1", "a.net", "/en/1", None, "allow"),
+        ("http://cheap-pills.example.net/en/1", "cheap-pills.example.net", "/en/1", None, "block"),
+        ("http://x.com", "x.com", "", None, "allow"),
+        ("no scheme", "", "", None, "allow"),
+        (None, "", "", None, "allow"),
+        ("", "", "", None, "allow"),
+        ("http://com/ä\n?", "com", "/ä\n", "com/", "allow"),
+    ]
+
+    def test_rules(self, spark):
+        rows = [(i, c[0], None, None) for i, c in enumerate(self.CASES)]
+        got = url_filters.judged(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).orderBy("page_id")
+        for row, (_, host, path, rule, verdict) in zip(got.collect(), self.CASES, strict=True):
+            assert (row["host"], row["path"], row["rule"], row["verdict"]) == (host, path, rule, verdict)
+
+
+class TestMainText:
+    PAGES = {
+        "<html><body><nav><a href=1>Go</a></nav><article><h1>T</h1><p>One&nbsp;two\n<b>th</b>ree<br>four<p>Five &amp; six</article>"
+        "<footer>f</footer></body>": "T One two three four Five & six",
+        "<body><div class='x sidebar'>no</div><main><p>Yes &lt;here&gt;</p><form>q</form><div id=comments><p>me too</p></div></main>": "Yes <here>",
+        "": "",
+        None: "",
+        "just text": "just text",
+        "<p>cut off <a hre": "cut off",
+        "<article><p>a</p><script>var x='</p>'</script><style>p{}</style><!-- no --><p>b</p>": "a b",
+        "<div><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><p>The text of the page.</p></div>": "The text of the page.",
+    }
+
+    def test_pages(self, spark):
+        rows = [(i, None, html) for i, html in enumerate(self.PAGES)]
+        got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
+        assert [r["text"] for r in got] == list(self.PAGES.values())
+        assert [r["n_chars"] for r in got] == [len(t) for t in self.PAGES.values()]
+
+    def test_deep_and_long(self):
+        deep = "<div>" * 5000 + "word " * 50_000
+        assert html_text.main_text(deep) == " ".join(["word"] * 50_000)
+
+
+class TestLeaks:
+    ITEMS = [
+        (1, "Alice buys 12 apples for 3 dollars each and then sells 12 apples to the baker down the road"),
+        (2, " ".join(WORDS[:14])),
+        (3, "too short"),
+        (4, "exactly five plain words here"),
+        (5, None),
+    ]
+
+    def test_cases(self, spark, docs, none):
+        items = spark.createDataFrame(self.ITEMS, "item_id long, text string")
+        rows = [
+            (1, prose(1) + ". Bob buys 15 apples for 4 dollars each and then sells 15 apples to the baker down the road. " + prose(2)),
+            (2, prose(3) + ". Bob buys 15 apples for 4 dollars each and then sells 19 apples to the baker down the road. " + prose(2)),
+            (3, "x " + " ".join(w.upper() + "!!" for w in WORDS[:14]) + " y"),
+            (4, prose(5)),
+            (5, "they said Exactly five plain words here."),
+            (6, None),
+            (7, ""),
+        ]
+        got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+        found = {(r["doc_id"], r["item_id"]): r["verbatim"] for r in got}
+        assert found.get((1, 1)) is False and found.get((3, 2)) is True and (5, 4) in found
+        assert not {d for d, _ in found} & {4, 6, 7}
+        kept = decontaminate.without_leaks(docs, items)
+        assert kept.columns == docs.columns and kept.count() == len(odd_rows())
+        assert decontaminate.leaks(none, items).count() == 0 == decontaminate.leaks(docs, items.limit(0)).count()
+
+    def test_every_planted_item_is_found(self, spark):
+        items = spark.read.parquet(f"{DATA}/benchmark.parquet").collect()
+        rows = [(i["item_id"], prose(i["item_id"]) + " " + i["text"] + " " + prose(7)) for i in items]
+        rows += [(1000 + i, prose(50 + i)) for i in range(20)]
+        found = decontaminate.leaks(
+            spark.createDataFrame(rows, "doc_id long, text string"), spark.read.parquet(f"{DATA}/benchmark.parquet")
+        )
+        got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+        assert {(i["item_id"], i["item_id"]) for i in items} <= got and not [d for d, _ in got if d >= 1000]
+
+
+def brute_base(text):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
+
+    rules = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(d := re.sub(r"\D", "", m)) <= 19 and luhn(d)),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(re.sub(r"\D", "", m)) <= 15),
+    ]
+    return sorted((m.start(), k, m.end()) for k, (r, ok) in enumerate(rules) for m in re.finditer(r, text) if ok(m[0]))
+
+
+class TestPii:
+    def test_base_equals_the_rules(self):
+        rng = random.Random(6)
+        for _ in range(4000):
+            text = "".join(rng.choice(["@", ".", "1", "22", "a", "b-", " ", "+1", "(555) ", "-", "4111111111111111", "é", "%"]) for _ in range(25))
+            assert pii.base_spans(text) == brute_base(text)
+
+    def test_long_runs_take_linear_time(self):
+        for piece in ("1", "a", "a.", "1.", "@", "+1", "a@", "(1", "1-", "x=", "- "):
+            pii.spans_of(piece * 100_000, pii.Model(np.zeros((0, 9), int), np.zeros(0)))
+
+    def test_method_adds_and_redacts(self, spark, docs, none):
+        rows = [(i, f'{prose(i, 9)} token = "{i:04d}abcd{i * 7919:012d}ef" {prose(i, 5)}', None) for i in range(30)]
+        rows += [(100, "call +1 (212) 555-0100 or mail a.b@c.example.org now", 1), (101, None, None), (102, "", None)]
+        given = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+        model = pii.fit(given)
+        got = {r["doc_id"]: r for r in pii.find(given, model).collect()}
+        assert all("secret:" in got[i]["spans"] for i in range(30))
+        assert got[100]["n_phone"] == 1 == got[100]["n_email"] and got[101]["spans"] == "" == got[102]["spans"]
+        clean = {r["doc_id"]: r for r in pii.redact(given, model).collect()}
+        assert clean[100]["text"] == "call <phone> or mail <email> now" and clean[100]["n_chars"] == len(clean[100]["text"])
+        assert clean[101]["text"] is None and clean[102]["text"] == ""
+        assert pii.redact(docs, model).columns == docs.columns
+        assert pii.find(none, pii.fit(none)).count() == 0
+
+
+def brute_groups(prints):
+    values = sorted(set(prints.values()))
+    parent = {v: v for v in values}
+
+    def top(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= 4:
+                parent[top(a)] = top(b)
+    least = {}
+    for d, v in prints.items():
+        least[top(v)] = min(d, least.get(top(v), d))
+    return {d: least[top(v)] for d, v in prints.items()}
+
+
+class TestSimHash:
+    def test_golay_decodes_three_errors(self):
+        rng = np.random.default_rng(1)
+        index = rng.integers(0, 1 << 12, 500)
+        code = simhash._remainder(index << 11) | index << 11
+        for _ in range(10):
+            error = sum(1 << int(b) for b in rng.choice(23, 3, replace=False))
+            assert (simhash.codeword_index(code ^ error) == index).all()
+
+    def test_no_link_is_missed(self):
+        rng = random.Random(2)
+        for _ in range(500):
+            a = rng.getrandbits(64)
+            b = a ^ sum(1 << i for i in rng.sample(range(64), 4))
+            keys, n = simhash.fuzzy_keys(np.array([a, b], np.uint64))
+            assert set(keys[: n[0]]) & set(keys[n[0] :])
+
+    def test_chains_and_dense_groups(self, spark):
+        rng = random.Random(3)
+        prints, d = {}, 0
+        for _ in range(12):
+            v = rng.getrandbits(64)
+            for _ in range(rng.randrange(1, 60)):
+                prints[d] = v
+                d += 1
+                v ^= sum(1 << i for i in rng.sample(range(64), rng.randrange(0, 5)))
+        centre = rng.getrandbits(64)
+        for _ in range(80):
+            prints[d] = centre ^ sum(1 << i for i in rng.sample(range(64), 3))
+            d += 1
+        signed = [(k, int(np.uint64(v).astype(np.int64))) for k, v in prints.items()]
+        nodes = spark.createDataFrame(signed, "doc_id long, fp long").groupBy("fp").agg(F.min("doc_id").alias("least"))
+        part = {r["node"]: r["component"] for r in simhash.linked(nodes).collect()}
+        least = {}
+        for k, v in signed:
+            least[part.get(v, v)] = min(k, least.get(part.get(v, v), k))
+        assert {k: least[part.get(v, v)] for k, v in signed} == brute_groups(prints)
+
+    def test_query_equals_brute_force(self, spark):
+        rows = QUERIES["op9_simhash_groups"](spark, DATA).collect()
+        prints = {r["doc_id"]: int(r["fingerprint"], 16) for r in rows}
+        assert {r["doc_id"]: r["component_id"] for r in rows} == brute_groups(prints)
+        for doc in spark.read.parquet(f"{DATA}/documents.parquet").limit(30).collect():
+            assert prints[doc["doc_id"]] == simhash.fingerprint(doc["text"])
+
+    def test_odd_rows(self, docs, none):
+        got = simhash.near_duplicates(docs).collect()
+        zero = [r for r in got if r["fingerprint"] == "0" * 16]
+        assert len(zero) == 4 and {r["component_id"] for r in zero} == {1}
+        kept = simhash.one_of_each(docs)
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 4, 5, 6, 7]
+        assert simhash.near_duplicates(none).count() == 0 == simhash.one_of_each(none).count()
+
+    def test_components(self, spark):
+        edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 3)], "a long, b long")
+        got = {r["node"]: r["component"] for r in components(edges, "a", "b").collect()}
+        assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+class TestQualityModel:
+    def test_held_out_and_odd_rows(self, spark, docs, none):
+        rows = [(i, prose(i, 40) if i % 3 else "### | ### | " * (5 + i % 7), int(i % 3 > 0)) for i in range(150)]
+        given = spark.createDataFrame(rows, "doc_id long, text string, label int")
+        vectors, network = quality_model.fit(given.drop("label"), given.select("doc_id", "label").where("doc_id < 100"))
+        got = {r["doc_id"]: r["score"] for r in quality_model.score(given, vectors, network).collect()}
+        assert np.mean([(got[i] >= 0.5) == label for i, _, label in rows if i >= 100]) > 0.95
+        scores = [r["score"] for r in quality_model.score(docs, vectors, network).collect()]
+        assert len(scores) == len(odd_rows()) and all(0 <= s <= 1 for s in scores)
+        flat = quality_model.fit(none, given.select("doc_id", "label").limit(0))
+        assert quality_model.score(none, *flat).count() == 0
+
+    def test_vectors_equal_plain_counting(self, spark):
+        texts = [(1, "a b a c"), (2, "b"), (3, None)]
+        got = quality_model.word_vectors(spark.createDataFrame(texts, "doc_id long, text string"))
+        places, signs = quality_model.index_vectors()
+        want = np.zeros((quality_model.BUCKETS, quality_model.WIDTH))
+        for _, text in texts:
+            ids = quality_model.bucket_ids(text)
+            for i in range(len(ids)):
+                for j in range(max(0, i - quality_model.REACH), min(len(ids), i + quality_model.REACH + 1)):
+                    if i != j:
+                        np.add.at(want[ids[i]], places[ids[j]], signs[ids[j]])
+        want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+        assert np.allclose(got, want, atol=1e-6)
+
+
+def test_all_ten_are_registered():
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11)) and set(SQL) <= set(QUERIES)
