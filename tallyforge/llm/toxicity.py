@@ -7,17 +7,18 @@ a term that is cut up by dots or has characters put in stays close to itself.
 Strings are the words of labelled sentences: runs of characters between blanks, and runs
 of single characters ("i d i o t") as one. Over all labelled documents Spark counts in how
 many toxic and other documents each word stands. Words that stand in toxic ones far above
-chance are the positive strings, frequent and hashed other words the negative ones (at most
-``POSITIVES`` and ``NEGATIVES``). Nyström landmarks are picked among them greedily, each the
+chance are the positive strings; the negative ones are frequent words, words chosen by hash
+and, in a second round, words that a first machine mistakes (at most ``POSITIVES`` and
+``NEGATIVES``). Nyström landmarks are picked among them greedily, each the
 one worst explained by those before; the machine is trained in their feature space.
 
 The decision is linear in the kernel values, and each kernel value is linear in the weighted
 subsequences of the string. So the trained machine folds into one table of weights per
 subsequence, and a word costs its subsequences, not a comparison with every landmark.
 
-A document's score is logistic in its two highest decisions, the number of positive ones and
-its length; that part is fitted to at most ``TRAIN_ROWS`` labelled documents chosen by a hash
-of ``doc_id``. Null and empty texts score like texts without words. Labels other than 0 and 1
+A document's score is logistic in its two highest decisions, the numbers of high ones and its
+length; that part is fitted to at most ``TRAIN_ROWS`` labelled documents chosen by a hash of
+``doc_id``. Null and empty texts score like texts without words. Labels other than 0 and 1
 are not used. Without positive strings every score is the share of toxic labels.
 """
 
@@ -39,27 +40,34 @@ DECAY = 0.6
 ORDER = 3
 POSITIVES = 400
 NEGATIVES = 3000
-LANDMARKS = 128
+LANDMARKS = 192
 LEAST_DOCS = 3
 #: Least log-likelihood ratio of a positive string.
 LEAST_RATIO = 15.0
+#: Greatest one of a negative string.
+PLAIN_RATIO = 4.0
 TRAIN_ROWS = 8000
 #: Characters of the windows that longer strings are seen through, and the step.
 WINDOW = 24
 STEP = 12
 ALPHABET = 64
 REMEMBERED = 200_000
+#: Decisions above which a document's strings are counted.
+LIMITS = (0.25, 0.5, 0.75)
+FEATURES = 3 + len(LIMITS)
 
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|…«»“”"
 _SPELT = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 
 
 def units(text: str | None) -> set[str]:
-    """The different strings of a text, in lower case, without marks at their ends."""
+    """The different strings of a text, in lower case, without marks at their ends; one with
+    marks inside also counts without them."""
     low = (text or "").lower()
     found = {w.strip(_EDGES) for w in set(low.split())}
     if _SPELT.search(low):
         found |= {m[0].replace(" ", "").strip(_EDGES) for m in _SPELT.finditer(low)}
+    found |= {"".join(filter(str.isalnum, w)) for w in found if not w.isalnum()}
     found.discard("")
     return found
 
@@ -93,23 +101,21 @@ def subsequences(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def self_kernel(c: np.ndarray) -> np.ndarray:
-    """Kernel of each string with itself, by the recursion over prefixes."""
+    """Kernel of each string with itself, by the recursion over prefixes; the recursion's
+    inner sum over the second string is one product with a triangle of decays."""
     count, length = c.shape
-    match = c[:, :, None] == c[:, None, :]
-    prime = np.ones((length + 1, length + 1, count))
-    total = np.zeros(count)
+    match = (c[:, :, None] == c[:, None, :]) * (DECAY * DECAY)
+    gap = np.arange(length)[None, :] - np.arange(length)[:, None]
+    triangle = np.where(gap >= 0, DECAY ** np.maximum(gap, 0.0), 0.0)
+    prime, total = np.ones((length + 1, count, length + 1)), np.zeros(count)
     for order in range(ORDER):
-        last = order == ORDER - 1
-        after = np.zeros((length + 1, length + 1, count))
+        after = np.zeros_like(prime)
         for i in range(1, length + 1):
-            run = np.zeros(count)
-            for j in range(1, length + 1):
-                step = match[:, i - 1, j - 1] * DECAY * DECAY * prime[i - 1, j - 1]
-                if last:
-                    total += step
-                else:
-                    run = DECAY * run + step
-                    after[i, j] = DECAY * after[i - 1, j] + run
+            step = match[:, i - 1] * prime[i - 1, :, :-1]
+            if order == ORDER - 1:
+                total += step.sum(1)
+            else:
+                after[i, :, 1:] = DECAY * after[i - 1, :, 1:] + step @ triangle
         prime = after
     return total
 
@@ -189,20 +195,16 @@ class Machine:
         self.known.update((s, max(made[w] for w in ws)) for s, ws in parts.items())
 
     def pooled(self, texts: list[str | None]) -> np.ndarray:
-        """Highest and second decision, log number of positive ones, log number of strings."""
+        """Highest and second decision, log numbers of those above three limits and of all."""
         sets = [units(t) for t in texts]
         self.decisions(set().union(*sets))
-        out = np.zeros((len(texts), 4))
+        out = np.zeros((len(texts), FEATURES))
         for row, found in zip(out, sets, strict=True):
-            values = [self.known[s] for s in found]
-            high = max(values, default=-1.0)
-            above = sorted((v for v in values if v > 0), reverse=True)
-            row[:] = (
-                np.clip(high, -2, 2),
-                np.clip(above[1] if len(above) > 1 else -1.0, -2, 2),
-                np.log1p(len(above)),
-                np.log1p(len(values)),
-            )
+            values = np.array([self.known[s] for s in found])
+            above = np.sort(values[values > -0.5])[::-1]
+            counts = [(above > limit).sum() for limit in LIMITS]
+            row[:2] = np.clip([*above[:2], -1, -1][:2], -1, 1)
+            row[2:] = np.log1p([*counts, len(values)])
         return out
 
 
@@ -273,13 +275,29 @@ def labelled_strings(docs: DataFrame, labelled: DataFrame) -> tuple[list[tuple[s
     rated = counts.withColumn("ratio", F.when(part > share, ratio).otherwise(-ratio))
     strong = rated.where((F.col("ratio") >= LEAST_RATIO) & (part >= 0.5)).orderBy(F.desc("ratio"), "unit").limit(POSITIVES)
     positive = [(r["unit"], float(r["n"])) for r in strong.collect()]
-    plain = rated.where(F.col("ratio") < 2)
+    plain = rated.where(F.col("ratio") < PLAIN_RATIO)
     frequent = plain.orderBy(F.desc("n"), "unit").limit(NEGATIVES // 3).collect()
-    hashed = plain.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES - NEGATIVES // 3).collect()
+    hashed = plain.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES // 3).collect()
     negative = {r["unit"]: float(r["n"]) for r in [*frequent, *hashed]}
+    if positive and negative:
+        negative |= _mistaken(plain, Machine(positive, sorted(negative.items())))
     return positive, sorted(negative.items()), share
 
 
+def _mistaken(plain: DataFrame, machine: Machine) -> dict[str, float]:
+    """The most frequent other strings that a first machine takes for positive or nearly so."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names = batch.column(0).to_pylist()
+        machine.decisions(set(names))
+        kept = pa.array([machine.known[u] > -0.3 for u in names], pa.bool_())
+        return batch.filter(kept)
+
+    machine.known.clear()
+    found = map_batches(plain.select("unit", "n"), work, "unit string, n bigint")
+    return {r["unit"]: float(r["n"]) for r in found.orderBy(F.desc("n"), "unit").limit(NEGATIVES // 3).collect()}
+
+
 class Scorer:
     """Machine and the logistic part on top; ``constant`` where nothing could be learnt."""
 
@@ -317,10 +335,12 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = machine.pooled(batch.column(1).to_pylist())
-        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(4))], ["label", "a", "b", "c", "d"])
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(FEATURES))], names)
 
-    made = map_batches(chosen.select(F.col("label").cast("int").alias("label"), "text"), work, "label int, a double, b double, c double, d double")
-    found = np.array([tuple(r) for r in made.orderBy("label", "a", "b", "c", "d").limit(2 * rows).collect()], float).reshape(-1, 5)
+    names = ["label", *(f"x{k}" for k in range(FEATURES))]
+    schema = "label int, " + ", ".join(f"{n} double" for n in names[1:])
+    made = map_batches(chosen.select(F.col("label").cast("int").alias("label"), "text"), work, schema)
+    found = np.array([tuple(r) for r in made.orderBy(names).limit(2 * rows).collect()], float).reshape(-1, 1 + FEATURES)
     scorer.fit(found[:, 1:], found[:, 0])
     machine.known.clear()
     return scorer
