@@ -2,7 +2,9 @@
 
 A text becomes a sequence of template tokens: words in lower case, and typed placeholders
 for numbers, for units (a unit word or sign behind a number) and for names (a capitalised
-word inside a sentence or a listed given name; a run of them is one). Windows of eight
+word inside a sentence or a listed given name; a run of them is one). Where a capitalised
+word opens a window it may also be the first word of a pasted text, so such windows of
+documents are tried both ways. Windows of eight
 tokens, at least half of them words, are hashed; an item of four to seven tokens is one
 window of its own length; items with fewer tokens say too little and are never matched.
 
@@ -20,6 +22,7 @@ empty texts have no windows; repeated rows are reported alike, each with its ``d
 from __future__ import annotations
 
 import re
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -120,10 +123,13 @@ class Templates:
         self.at = np.nonzero((kind != _STOP) & first)[0]  # places in ``strings``
         self.kind, self.row, self.all_kinds = kind[self.at], row[self.at], kind
         self.code = np.where(self.kind == _WORD, codes[self.at], self.kind.astype(np.uint64) + np.uint64(1))
+        self.word_code = codes[self.at]
+        self.capital = (self.kind == _NAME) & (flags[self.at] & _CAPITAL > 0)
         self.start = np.searchsorted(self.row, np.arange(len(texts)))
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """First place and hash of every window that stays in its text."""
+    def windows(self, width: int, opened: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """First place and hash of every window that stays in its text; ``opened`` gives
+        those that a capitalised word opens, with that word for a plain one."""
         n = len(self.code) - width + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -131,8 +137,13 @@ class Templates:
         for k in range(width):
             total = total * _BASE + self.code[k : k + n]
             words += self.kind[k : k + n] == _WORD
+        if opened:
+            power = np.uint64(1)
+            for _ in range(width - 1):
+                power = np.uint64(int(power) * int(_BASE) & 0xFFFFFFFFFFFFFFFF)
+            total, words = total + (self.word_code[:n] - self.code[:n]) * power, words + np.int8(1)
         whole = (self.row[:n] == self.row[width - 1 :]) & (2 * words >= width)
-        place = np.nonzero(whole)[0]
+        place = np.nonzero(whole & self.capital[:n] if opened else whole)[0]
         return place, total[place]
 
     def text(self, place: int) -> str:
@@ -144,12 +155,12 @@ class Templates:
                 stop += 1
         return " ".join(self.strings[at : stop + 1]).lower()
 
-    def template(self, place: int, width: int) -> tuple[str, list[str]]:
+    def template(self, place: int, width: int, opened: bool = False) -> tuple[str, list[str]]:
         """The window as text with placeholders, and the values of its slots."""
         shown, slots = [], []
         for p in range(place, place + width):
-            kind = int(self.kind[p])
-            value = self.text(p)
+            kind = _WORD if opened and p == place else int(self.kind[p])
+            value = self.strings[int(self.at[p])].lower() if opened and p == place else self.text(p)
             shown.append(value if kind == _WORD else ("", "<number>", "<name>", "<unit>")[kind])
             if kind != _WORD:
                 slots.append(value)
@@ -209,13 +220,13 @@ def document_windows(docs: DataFrame, bits: bytes, widths: list[int]) -> DataFra
                 size += len(texts[high] or "")
                 high += 1
             found = Templates(texts[low:high])
-            for width in widths:
-                places, hashes = found.windows(width)
+            for width, opened in product(widths, (False, True)):
+                places, hashes = found.windows(width, opened)
                 passed = marked[(hashes >> np.uint64(64 - PLACES)).astype(np.int64)]
                 for place, hashed in zip(places[passed].tolist(), hashes[passed], strict=True):
                     row = int(found.row[place])
                     rows.append(low + row)
-                    for column, value in zip(kept, (place - int(found.start[row]), width, hashed, *found.template(place, width)), strict=True):
+                    for column, value in zip(kept, (place - int(found.start[row]), width, hashed, *found.template(place, width, opened)), strict=True):
                         column.append(value)
             low = high
         index = pa.array(rows, pa.int64())
