@@ -101,6 +101,32 @@ def test_recommendations_equal_brute_force(spark, kind):
         assert got.get(u, []) == want[u], u
 
 
+@pytest.mark.parametrize("blocks", [(4096, 1024), (7, 3)])
+def test_blocked_estimates_equal_joined_terms(spark, monkeypatch, blocks):
+    monkeypatch.setattr(neighbours, "USER_BLOCK", blocks[0])
+    monkeypatch.setattr(neighbours, "TARGET_BLOCK", blocks[1])
+    monkeypatch.setattr(neighbours, "_TERMS_AT_ONCE", 50)
+    rng = np.random.default_rng(5)
+    t = _table(spark, [(u, i, int(rng.integers(1, 6))) for u in range(30) for i in range(40) if rng.random() < 0.2])
+    sims = neighbours.similarities(neighbours.co_rating_sums(t))
+    links = neighbours.mirrored(sims.where("similarity > 0"))
+    want = (
+        t.join(links, "item_id").groupBy("user_id", F.col("target").alias("item_id"))
+        .agg((F.sum(F.col("similarity") * F.col("rating")) / F.sum("similarity")).alias("score"))
+        .join(t.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    )
+    rounded = ["user_id", "item_id", F.round("score", 9).alias("s")]
+    got = neighbours.estimates(t, sims)
+    assert sorted(got.select(*rounded).collect()) == sorted(want.select(*rounded).collect())
+    ranked = {}
+    for r in sorted(neighbours.estimates(t, sims, 6).collect(), key=lambda r: (-r.score, r.item_id)):
+        ranked.setdefault(r.user_id, []).append(r.item_id)
+    best = {}
+    for r in sorted(neighbours.estimates(t, sims, 6, best=3).collect(), key=lambda r: (-r.score, r.item_id)):
+        best.setdefault(r.user_id, []).append(r.item_id)
+    assert {u: v[:3] for u, v in ranked.items()} == {u: v[:3] for u, v in best.items()}
+
+
 def test_latent_space_and_profiles(spark):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(30, 5)) @ (rng.normal(size=(5, 12)) * np.array([[6], [4], [3], [2], [0.5]])) + 5
