@@ -5,7 +5,7 @@ propose further candidates (``number``, ``local_phone``, ``id_number``, ``hidden
 ``secret``, ``name``). Five labelers (format, context before, context against, gazetteer,
 edges) vote for, against or not at all on every candidate and base span. Votes and a few
 coarse features are counted over the whole corpus; their combinations are bounded by the
-product of their values, 25,920 for ten kinds, so the counts fit the driver at any corpus size. On them
+product of their values, 58,320, so the counts fit the driver at any corpus size. On them
 expectation-maximisation estimates how reliable each labeler is and how common each kind
 is, and the posteriors train the final classifier, a logistic regression on the features
 alone. A candidate becomes a span when the classifier gives it one half or more.
@@ -194,7 +194,7 @@ def _gazetteer_vote(kind: int, value: str, digits: list[str]) -> int:
 
 
 #: Values of each field of ``described``; their product bounds what the driver gets.
-SIZES = (len(KINDS), 3, 2, 2, 3, 3, 4, 3, 2)
+SIZES = (len(KINDS), 3, 3, 3, 3, 3, 4, 3, 2)
 
 
 def _features(rows: np.ndarray) -> np.ndarray:

@@ -290,6 +290,7 @@ class TestPii:
 
     def test_method_adds_and_redacts(self, spark, docs, none):
         rows = [(i, f'{prose(i, 9)} token = "{i:04d}abcd{i * 7919:012d}ef" {prose(i, 5)}', None) for i in range(30)]
+        rows += [(200, "version 123-45-6789 of page 4111111111111112 in section Mr. Adam Smith", None)]
         rows += [(100, "call +1 (212) 555-0100 or mail a.b@c.example.org now", 1), (101, None, None), (102, "", None)]
         given = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
         model = pii.fit(given)
