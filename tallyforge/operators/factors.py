@@ -22,14 +22,20 @@ def fit(
     reg: float = REGULARISATION,
     implicit_alpha: float | None = None,
     seed: int = 42,
+    blocks: int | None = None,
 ) -> ALSModel:
     """Alternating least squares; ``implicit_alpha`` turns ratings into confidences.
 
+    ``blocks`` of users and of items are the tasks of a round and the sides of the blocked
+    product that recommends; by default as many as the cluster has cores, and ten at least.
+
     Ids must fit an int (Spark checks it); map larger ones through a dictionary
     first. Factors are checkpointed every few rounds by Spark itself.
     """
     ensure_checkpoint(ratings.sparkSession)
+    blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
+        numUserBlocks=blocks, numItemBlocks=blocks,
         rank=rank, maxIter=rounds, regParam=reg, seed=seed,
         userCol="user_id", itemCol="item_id", ratingCol="rating",
         implicitPrefs=implicit_alpha is not None, alpha=implicit_alpha or 1.0,
@@ -65,9 +71,10 @@ def recommend_to_all(model: ALSModel, k: int) -> DataFrame:
 
 
 def recommend_to(model: ALSModel, users: DataFrame, k: int, titles: DataFrame | None = None) -> DataFrame:
-    """The ``k`` best items of the given users, with titles when a title table is given."""
+    """The ``k`` best items of the given users, with titles when a title table is given; an
+    item without a title has a null one."""
     ranked = _ranked(model.recommendForUserSubset(users.select("user_id"), k))
-    return lookup_join(ranked, titles, "item_id") if titles is not None else ranked
+    return lookup_join(ranked, titles, "item_id", "left") if titles is not None else ranked
 
 
 def latent_items(

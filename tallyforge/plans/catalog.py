@@ -6,6 +6,7 @@ from tallyforge.plans import (  # noqa: F401
     metric_queries,
     model_queries,
     neighbour_queries,
+    proof_queries,
     stream_queries,
     vector_queries,
 )

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions import arrays
+from tallyforge.functions import arrays, numeric
 from tallyforge.operators import clusters, encode, factors, linear, metrics, models, neighbours, splits, tuning
 from tallyforge.plans.encode_queries import CATEGORIES, NUMBERS
 from tallyforge.plans.registry import query
@@ -265,7 +265,11 @@ def sweep_cluster_count(t: Tables) -> DataFrame:
 
 @lru_cache(maxsize=4)
 def _fitted(spark, sf_dir: str, alpha: float | None):
-    return factors.fit(Tables(spark, sf_dir).ratings, implicit_alpha=alpha)
+    ratings = Tables(spark, sf_dir).ratings
+    if alpha is not None:
+        signal = numeric.to_signal(F.col("rating"), 3).cast("double")
+        ratings = ratings.select("user_id", "item_id", signal.alias("rating"))
+    return factors.fit(ratings, implicit_alpha=alpha)
 
 
 def _model(t: Tables, alpha: float | None = None):
