@@ -49,6 +49,7 @@ _DIGIT = re.compile("[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_DIGITS = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _ID_NUMBER = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _HIDDEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}){1,8}")
@@ -110,6 +111,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         for m in _CARD.finditer(text):
             if 13 <= m.end() - m.start() <= 40 and 13 <= sum(c.isdigit() for c in m[0]) <= 19:
                 found.append((m.start(), 4, m.end()))
+        found += [(m.start(), 4, m.end()) for m in _DIGITS.finditer(text)]
         found += [(m.start(), 5, m.end()) for m in _LOCAL_PHONE.finditer(text)]
         if "-" in text:
             found += [(m.start(), 6, m.end()) for m in _ID_NUMBER.finditer(text)]
@@ -152,7 +154,7 @@ def described(text: str, span: tuple[int, int, int]) -> tuple[int, ...]:
     context = 1 if near & _FOR else 0
     against = 2 if near & _AGAINST else 0
     left, right = text[start - 1 : start], text[end : end + 1]
-    edges = 2 if left.isalnum() or right.isalnum() else 1
+    edges = 2 if left.isalnum() or right.isalnum() else 0  # clean edges speak for nothing
     return (
         kind,
         _format_vote(kind, value, digits),
