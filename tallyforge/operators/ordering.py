@@ -10,10 +10,14 @@ that numbers, nor when an executor is lost.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.session import ensure_checkpoint
 
@@ -62,33 +66,107 @@ def global_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
     )
 
 
+def _per_partition(frozen: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], added: str) -> DataFrame:
+    """``frozen`` with the columns that ``work`` makes of each Arrow batch; one call of
+    ``work`` serves the batches of a partition in their order, so it can carry values on."""
+    fields = T._parse_datatype_string(added).fields
+    names = [*frozen.columns, *(f.name for f in fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = work()
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *step(batch)], names)
+
+    return frozen.mapInArrow(run, T.StructType([*frozen.schema.fields, *fields]))
+
+
 def running_sum(df: DataFrame, order: Sequence[str | Column], sums: dict[str, str | Column]) -> DataFrame:
-    """Running totals in the given order; ``sums`` maps new names to columns."""
+    """Running totals in the given order; ``sums`` maps new names to columns. Rows are summed
+    where they were ranged to, and each partition gets the total of those before it."""
     frozen = frozen_order(df, order)
-    bases = {f"__base_{n}": F.sum(_column(c)) for n, c in sums.items()}
-    inside = Window.partitionBy(_PART).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    local = frozen.withColumns({n: F.sum(_column(c)).over(inside) for n, c in sums.items()})
-    joined = local.join(_offsets(frozen, bases), _PART)
-    return joined.withColumns({n: F.col(n) + F.col(f"__base_{n}") for n in sums}).drop(_PART, _POS, *bases)
+    given = frozen.withColumns({f"__v_{n}": _column(c) for n, c in sums.items()})
+    kinds = {n: given.select(F.sum(f"__v_{n}").alias("s")).schema["s"].dataType for n in sums}
+    given = given.withColumns({f"__v_{n}": F.col(f"__v_{n}").cast(kinds[n]) for n in sums})
+    places = [given.columns.index(f"__v_{n}") for n in sums]
+
+    def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+        carry: list[pa.Scalar | None] = [None] * len(places)
+
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            out = []
+            for i, at in enumerate(places):
+                values = batch.column(at)
+                total = pc.cumulative_sum(values, start=carry[i], skip_nulls=True)
+                total = pc.fill_null_forward(total)  # a null adds nothing
+                if carry[i] is not None:
+                    total = pc.fill_null(total, carry[i])
+                carry[i] = total[-1] if total[-1].is_valid else None
+                out.append(total.cast(values.type))
+            return out
+
+        return step
+
+    added = ", ".join(f"`{n}` {kinds[n].simpleString()}" for n in sums)
+    local = _per_partition(given, work, added)
+    offsets = _offsets(given, {f"__base_{n}": F.sum(f"__v_{n}") for n in sums})
+    joined = local.join(offsets, _PART)
+    totals = {n: F.coalesce(F.col(n), F.lit(0).cast(kinds[n])) + F.col(f"__base_{n}") for n in sums}
+    return joined.withColumns(totals).drop(_PART, _POS, *(f"__base_{n}" for n in sums), *(f"__v_{n}" for n in sums))
 
 
 def rank_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rank"
 ) -> DataFrame:
-    """Full 1-based rank inside each key; a hot key is ranked by many tasks."""
+    """Full 1-based rank inside each key; a hot key is ranked by many tasks.
+
+    Rows are numbered where they were ranged to. Only the key that a partition begins with
+    can go on from the one before; what it has there comes as one number per partition.
+    """
     frozen = frozen_order(df, [*keys, *order])
-    before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        frozen.groupBy(*keys, _PART)
-        .agg(F.min(_POS).alias("__first"), F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .drop("__n")
-    )
-    return (
-        frozen.join(starts, [*keys, _PART])
-        .withColumn(name, F.col("__before") + F.col(_POS) - F.col("__first") + 1)
-        .drop(_PART, _POS, "__first", "__before")
+    places = [frozen.columns.index(k) for k in keys]
+
+    def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+        last: list[pa.Scalar] | None = None
+        count, leading = 0, True
+
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            nonlocal last, count, leading
+            columns = [batch.column(i) for i in places]
+            n = batch.num_rows
+            new = np.zeros(n, bool)
+            for i, c in enumerate(columns):
+                same = pc.fill_null(pc.equal(c[1:], c[:-1]), False)
+                both = pc.and_(c[1:].is_null(), c[:-1].is_null())
+                new[1:] |= ~pc.or_(same, both).to_numpy(zero_copy_only=False)
+                if last is not None and c[0] != last[i]:
+                    new[0] = True
+            starts = np.nonzero(new)[0]
+            begin = np.zeros(n, np.int64)
+            begin[starts] = starts
+            begin = np.maximum.accumulate(begin)
+            run = np.cumsum(new)
+            local = np.arange(n) - begin + 1 + np.where(run == 0, count, 0)
+            lead = (run == 0) & leading
+            leading, count, last = bool(lead[-1]), int(local[-1]), [c[n - 1] for c in columns]
+            return [pa.array(local), pa.array(lead)]
+
+        return step
+
+    local = _per_partition(frozen, work, "__local long, __lead boolean")
+    key = F.struct(*keys)
+    edges = local.groupBy(_PART).agg(
+        F.min_by(key, _POS).alias("first"), F.max_by(key, _POS).alias("last"),
+        F.max_by("__local", _POS).alias("tail"), F.min("__lead").alias("single"),
     )
+    before, base, rows = None, 0, []
+    for row in sorted(edges.collect(), key=lambda r: r[_PART]):  # one row per shuffle partition
+        base = base if before is not None and row["first"] == before else 0
+        rows.append((row[_PART], base))
+        before, base = row["last"], row["tail"] + (base if row["single"] else 0)
+    carried = df.sparkSession.createDataFrame(rows, f"{_PART} int, __base long")
+    rank = F.col("__local") + F.when(F.col("__lead"), F.col("__base")).otherwise(F.lit(0))
+    return local.join(F.broadcast(carried), _PART).withColumn(name, rank).drop(_PART, _POS, "__local", "__lead", "__base")
 
 
 def top_per_key(

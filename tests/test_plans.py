@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tallyforge.operators import neighbours
-from tallyforge.operators.ordering import top_per_key
+from tallyforge.operators.ordering import rank_within, running_sum, top_per_key
 from tallyforge.plans.catalog import CATALOG
 from tallyforge.plans.views import Tables
 
@@ -30,6 +30,14 @@ def test_top_per_key_is_limited_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit.*Final[\s\S]*Exchange[\s\S]*WindowGroupLimit.*Partial", plan)
 
 
+def test_ranks_and_running_sums_shuffle_rows_once(spark):
+    r = Tables(spark, SF).ratings  # the one range shuffle lies before the checkpoint
+    assert "Exchange hashpartitioning" not in _plan(rank_within(r, ["user_id"], ["item_id"]))
+    plan = _plan(running_sum(r, ["user_id", "item_id"], {"total": "rating"}))
+    rows, offsets = plan.split("BroadcastExchange", 1)
+    assert "Exchange" not in rows and "partial_sum" in offsets
+
+
 def test_score_terms_are_not_shuffled(spark):
     r = Tables(spark, SF).ratings
     sims = neighbours.similarities(neighbours.co_rating_sums(r))
