@@ -78,14 +78,15 @@ def recommend_to(model: ALSModel, users: DataFrame, k: int, titles: DataFrame |
 
 
 def latent_items(
-    ratings: DataFrame, dims: int = 4, spare: int = 12, rounds: int = 30, tolerance: float = 1e-11, seed: int = 42
+    ratings: DataFrame, dims: int = 4, spare: int = 12, rounds: int = 30, tolerance: float = 1e-8, seed: int = 42
 ) -> DataFrame:
     """Items as rows of the right singular vectors of the user x item matrix.
 
     Block Krylov iteration on tables. A round multiplies a block of vectors by the
     matrix and its transpose (two joins, two sums that combine map-side) and writes
     one table; all blocks together form the basis the answer is taken from. It ends
-    when the leading squared singular values stand still. A user or an item with
+    when the leading squared singular values stand still, and raises if they don't within
+    ``rounds``. A user or an item with
     very many ratings is only ever summed, and the driver sees matrices as wide as
     the basis, whatever the number of users and items. The sign of each dimension
     is fixed, so the result is reproducible. ``(item_id, features)``.
@@ -112,8 +113,10 @@ def latent_items(
             grown[-m:, :] = c.T
             seen, before = grown, leading
             leading = np.linalg.eigvalsh((seen + seen.T) / 2)[::-1][:dims]
-            if i == rounds or np.abs(leading - before).max() <= tolerance * leading[0]:
+            if np.abs(leading - before).max() <= tolerance * leading[0]:
                 break
+            if i == rounds:
+                raise RuntimeError(f"the singular values still move after {rounds} rounds: allow more, or a larger tolerance")
         # New directions: what the images add to the basis, made orthonormal.
         fresh = whitener(gram - c.T @ c)
         table = map_rows(table, ["b", "w"], "v", lambda b, w, c=c, t=fresh: (w - b @ c) @ t)

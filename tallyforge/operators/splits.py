@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.operators.joins import without_keys
 from tallyforge.operators.ordering import global_index, rank_within, top_per_key
 
 
@@ -31,15 +30,11 @@ def hash_split(
     return df.withColumn(name, part)
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Spark's own split; its result depends on partitioning."""
-    return df.randomSplit(list(weights), seed)
-
-
 def sample_and_rest(df: DataFrame, keys: Sequence[str], percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """A sample without replacement by key, and every row whose key is not in it."""
-    test = df.where(hash_percent(keys, seed) < percent)
-    return test, without_keys(df, test, keys)
+    """A sample without replacement by key, and every row whose key is not in it: the same
+    predicate and its negation, so neither side is shuffled."""
+    drawn = hash_percent(keys, seed) < percent
+    return df.where(drawn), df.where(~drawn)
 
 
 def leave_out(
