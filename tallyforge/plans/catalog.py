@@ -8,6 +8,7 @@ from tallyforge.plans import (  # noqa: F401
     neighbour_queries,
     proof_queries,
     stream_queries,
+    sweep_queries,
     vector_queries,
 )
 from tallyforge.plans.registry import CATALOG  # noqa: F401
