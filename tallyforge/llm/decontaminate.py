@@ -272,5 +272,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no leaked item. Texts decide, so rows without
     ``doc_id`` and rows that share one are judged each by its own text."""
     found = written(leaks(docs, benchmark).select("copy").distinct(), "leaks").withColumnRenamed("copy", "_copy")
-    hashed = docs.withColumn("_copy", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return lookup_join(hashed, found, "_copy", "left_anti").select(docs.columns)
+    names = docs.columns
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_copy"))
+    return lookup_join(packed, found, "_copy", "left_anti").select(*(F.col("_row")[c].alias(c) for c in names))

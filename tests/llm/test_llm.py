@@ -29,7 +29,7 @@ from tallyforge.llm.common import components  # noqa: E402
 from tallyforge.llm.queries import QUERIES, SQL, vocabulary  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, `ids` string, `n` int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, `ids` string, `_copy` int"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
 
