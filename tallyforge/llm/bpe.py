@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -22,10 +21,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallyforge.llm.common import map_batches
+from tallyforge.llm.common import Remembered, map_batches
 
+#: Stretches of text that a worker remembers in each of two generations.
 REMEMBERED = 120_000
-LONGEST_REMEMBERED = 64
 #: Bits of a place or an id within a packed number.
 PLACE = 32
 LOW = (1 << PLACE) - 1
@@ -48,8 +47,8 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Codec:
-    """Encoder and decoder of one vocabulary file."""
+class Encoder:
+    """Encoder of one vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -61,16 +60,11 @@ class Codec:
         self.result = [new for _, _, new in joined]
         alphabet = byte_alphabet()
         self.of_byte = [vocab[c] for c in alphabet]
-        value = {c: b for b, c in enumerate(alphabet)}
-        self.strings = {i: bytes(value[c] for c in s) for s, i in vocab.items() if all(c in value for c in s)}
-        self.special = {}
-        for token in spec.get("added_tokens", ()):
-            self.special[token["content"]] = token["id"]
-            self.strings[token["id"]] = token["content"].encode()
+        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known = _Remembered(self.word)
-        self.first = _Remembered(self.stretch)
-        self.later = _Remembered(lambda piece: self.stretch(" " + piece))
+        self.known = Remembered(self.word, REMEMBERED)
+        self.first = Remembered(self.stretch, REMEMBERED)
+        self.later = Remembered(lambda piece: self.stretch(" " + piece), REMEMBERED)
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one word. A queue entry is a rank and the place of its left symbol; it is
@@ -130,43 +124,40 @@ class Codec:
                 out += map(self.later.__getitem__, later)
         return b"".join(out)
 
+
+class Decoder:
+    """The strings of a vocabulary file."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        value = {c: b for b, c in enumerate(byte_alphabet())}
+        vocab = spec["model"]["vocab"]
+        self.strings = {i: bytes(value[c] for c in s) for s, i in vocab.items() if all(c in value for c in s)}
+        self.strings |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", ())}
+
     def decode(self, ids: bytes) -> str:
         """The text of the concatenated vocabulary strings."""
         strings = self.strings
         return b"".join([strings[i] for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
 
 
-class _Remembered(dict):
-    """Results by argument, in two generations of bounded size: what is used again while
-    the younger one fills stays."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, text: str) -> bytes:
-        found = self.older.get(text)
-        if found is None:
-            found = self.make(text)
-        if len(text) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[text] = found
-        return found
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One per Python worker; what it remembers serves later tasks."""
+    return Encoder(path)
 
 
-@lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    """One codec per Python worker; what it remembers serves later tasks."""
-    return Codec(path)
+@lru_cache(maxsize=1)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """``keys``, ``ids`` (binary) and ``n_tokens`` of each row's ``text``."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        use = codec(path)
+        use = encoder(path)
         ids = [use.encode(t or "") for t in batch.column(len(keys)).to_pylist()]
         made = {"ids": pa.array(ids, pa.binary()), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64())}
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made.values()], [*keys, *made])
@@ -182,7 +173,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     at = names.index("ids")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        use = codec(path)
+        use = decoder(path)
         texts = pa.array([use.decode(i or b"") for i in batch.column(at).to_pylist()], pa.string())
         return pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, "decoded"])
 

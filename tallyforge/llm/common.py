@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,26 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(each, schema)
 
 
+class Remembered(dict):
+    """Results by argument, in two generations of at most ``size``: what is used again while
+    the younger one fills stays. Python workers live on, so what they keep must stay small."""
+
+    def __init__(self, make: Callable[[str], Any], size: int, longest: int = 64):
+        super().__init__()
+        self.make, self.size, self.longest, self.older = make, size, longest, {}
+
+    def __missing__(self, text: str) -> Any:
+        found = self.older.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

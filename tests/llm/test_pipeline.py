@@ -37,7 +37,7 @@ def test_run_equals_its_parts(spark):
     leaked = {d for d in first if any(b in rows[d]["text"] for b in bench)}
     assert leaked and not leaked & set(got)
     model = pii.fit(docs)
-    codec = bpe.codec(vocabulary("byte_bpe_50k.json"))
+    codec = bpe.decoder(vocabulary("byte_bpe_50k.json"))
     for d, row in got.items():
         text = codec.decode(bytes(row["ids"]))
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
