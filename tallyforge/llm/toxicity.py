@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import map_batches
 from tallyforge.operators.joins import lookup_join
+from tallyforge.session import written
 
 DECAY = 0.6
 ORDER = 3
@@ -272,7 +273,8 @@ def labelled_strings(docs: DataFrame, labelled: DataFrame) -> tuple[list[tuple[s
         return F.when(x > 0, x * F.log(x / (F.col("n") * p))).otherwise(0.0)
 
     ratio = 2 * (term(F.col("bad"), share) + term(F.col("n") - F.col("bad"), 1 - share))
-    rated = counts.withColumn("ratio", F.when(part > share, ratio).otherwise(-ratio))
+    # counted once, then read for each of the choices below
+    rated = written(counts.withColumn("ratio", F.when(part > share, ratio).otherwise(-ratio)), "strings")
     strong = rated.where((F.col("ratio") >= LEAST_RATIO) & (part >= 0.5)).orderBy(F.desc("ratio"), "unit").limit(POSITIVES)
     positive = [(r["unit"], float(r["n"])) for r in strong.collect()]
     plain = rated.where(F.col("ratio") < PLAIN_RATIO)
