@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.common import map_batches
+from tallyforge.llm.common import Remembered, map_batches
 from tallyforge.operators.joins import lookup_join
 from tallyforge.session import written
 
@@ -54,31 +54,25 @@ _CAPITAL, _UNIT_WORD, _LISTED = 8, 16, 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Kinds(dict):
-    """Kind and code of each token; what is remembered is bounded."""
+def _kind(token: str) -> tuple[int, int]:
+    """Kind and code of a token."""
+    import xxhash
 
-    def __missing__(self, token: str) -> tuple[int, int]:
-        import xxhash
-
-        low = token.lower()
-        if token[0].isdigit():
-            kind = _NUMBER
-        elif token in _SIGNS:
-            kind = _UNIT | _UNIT_WORD
-        elif not token[0].isalpha():
-            kind = _STOP
-        else:
-            kind = _WORD | _CAPITAL * (token[0].isupper() and token[1:].islower())
-            kind |= _UNIT_WORD * (low in _UNIT_WORDS) | _LISTED * (low in _NAME_WORDS)
-        code = xxhash.xxh64_intdigest(low.encode(), 7) if kind & 7 == _WORD else 0
-        if len(self) > 1 << 20:
-            self.clear()
-        self[token] = found = kind, code
-        return found
+    low = token.lower()
+    if token[0].isdigit():
+        kind = _NUMBER
+    elif token in _SIGNS:
+        kind = _UNIT | _UNIT_WORD
+    elif not token[0].isalpha():
+        kind = _STOP
+    else:
+        kind = _WORD | _CAPITAL * (token[0].isupper() and token[1:].islower())
+        kind |= _UNIT_WORD * (low in _UNIT_WORDS) | _LISTED * (low in _NAME_WORDS)
+    return kind, xxhash.xxh64_intdigest(low.encode(), 7) if kind & 7 == _WORD else 0
 
 
 _UNIT_WORDS, _NAME_WORDS, _SIGNS = frozenset(UNITS.split()), frozenset(NAMES.split()), frozenset(SIGNS.split())
-_kinds = _Kinds()
+_kinds = Remembered(_kind, 300_000)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -124,6 +118,7 @@ class Templates:
         self.kind, self.row, self.all_kinds = kind[self.at], row[self.at], kind
         self.code = np.where(self.kind == _WORD, codes[self.at], self.kind.astype(np.uint64) + np.uint64(1))
         self.word_code = codes[self.at]
+        self.rolled: tuple[int, np.ndarray, np.ndarray] | None = None
         self.capital = (self.kind == _NAME) & (flags[self.at] & _CAPITAL > 0)
         self.start = np.searchsorted(self.row, np.arange(len(texts)))
 
@@ -133,10 +128,13 @@ class Templates:
         n = len(self.code) - width + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        total, words = np.zeros(n, np.uint64), np.zeros(n, np.int8)
-        for k in range(width):
-            total = total * _BASE + self.code[k : k + n]
-            words += self.kind[k : k + n] == _WORD
+        if self.rolled is None or self.rolled[0] != width:  # both kinds share the sums
+            total, words = np.zeros(n, np.uint64), np.zeros(n, np.int8)
+            for k in range(width):
+                total = total * _BASE + self.code[k : k + n]
+                words += self.kind[k : k + n] == _WORD
+            self.rolled = width, total, words
+        _, total, words = self.rolled
         if opened:
             power = np.uint64(1)
             for _ in range(width - 1):
