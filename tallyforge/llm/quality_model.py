@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ROWS, map_batches
+from tallyforge.llm.common import ROWS, Remembered, map_batches
 from tallyforge.session import ship_package
 
 BUCKETS = 4096
@@ -44,22 +44,16 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _FEATURES = 2 * WIDTH + 4
 
 
-class _Buckets(dict):
-    """Bucket of each token; what is remembered is bounded."""
+def _bucket(token: str) -> int:
+    if token[0].isalpha():
+        shape = "A " if len(token) > 1 and token.isupper() else "a "
+        name = shape + token.lower()
+    else:
+        name = "0" if token[0].isdigit() else token[:3]
+    return crc32(name.encode()) % BUCKETS
 
-    def __missing__(self, token: str) -> int:
-        if token[0].isalpha():
-            shape = "A " if len(token) > 1 and token.isupper() else "a "
-            name = shape + token.lower()
-        else:
-            name = "0" if token[0].isdigit() else token[:3]
-        if len(self) > 300_000:
-            self.clear()
-        self[token] = found = crc32(name.encode()) % BUCKETS
-        return found
 
-
-_buckets = _Buckets()
+_buckets = Remembered(_bucket, 100_000)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
