@@ -8,7 +8,8 @@ coarse features are counted over the whole corpus; their combinations are bounde
 product of their values, 58,320, so the counts fit the driver at any corpus size. On them
 expectation-maximisation estimates how reliable each labeler is and how common each kind
 is, and the posteriors train the final classifier, a logistic regression on the features
-alone. A candidate becomes a span when the classifier gives it one half or more.
+alone. A candidate becomes a span when the classifier gives it one half or more. Candidates are taken whole: a value that is too long for its
+kind is spoken against by the format labeler, never cut.
 
 Null text counts as empty. Overlapping spans of different kinds are all reported; in a
 redacted text they are one gap named after the first. Repeated rows are treated alike.
@@ -52,11 +53,14 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _ID_NUMBER = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_HIDDEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}){1,8}")
-_ASSIGNED = re.compile(r"[=:]\s{0,3}[\"']?([^\s\"',;]{6,200})")
+_HIDDEN_AT = re.compile(r"[\[(]at[\])] ?")
+_HIDDEN_DOT = re.compile(r" ?(?:\.|[\[(]dot[\])]) ?")
+_HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{_HIDDEN_DOT.pattern}[A-Za-z0-9-]+)+")
+_ASSIGNED = re.compile(r"[=:]\s{0,3}[\"']?")
+_VALUE = re.compile(r"[^\s\"',;]{6,}")
 _SECRET_NAME = re.compile(r"(?:token|password|passwd|secret|api[_-]?key)\s{0,3}$", re.IGNORECASE)
 _ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
-_TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][\w'-]{1,40}(?: [A-Z][\w'-]{1,40})?)")
+_TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][\w'-]+(?: [A-Z][\w'-]+)*)")
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -84,6 +88,33 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def hidden_emails(text: str) -> list[tuple[int, int]]:
+    """Addresses with a spelt-out at sign, of any length; each sign is looked at once."""
+    found, done = [], 0
+    for sign in _HIDDEN_AT.finditer(text):
+        start = stop = sign.start() - (sign.start() > done and text[sign.start() - 1] == " ")
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _HIDDEN_DOMAIN.match(text, sign.end()) if start < stop else None
+        if domain:
+            found.append((start, domain.end()))
+        done = max(done, domain.end() if domain else sign.end())
+    return found
+
+
+def assigned_secrets(text: str) -> list[tuple[int, int]]:
+    """Whole values behind the name of a secret. What begins inside a found value is part
+    of it, so each run of characters is read once."""
+    found, done = [], 0
+    for m in _ASSIGNED.finditer(text):
+        if m.end() >= done and _SECRET_NAME.search(text, max(0, m.start() - 20), m.start()):
+            value = _VALUE.match(text, m.end())
+            if value:
+                found.append(value.span())
+                done = value.end()
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base rules, in order."""
     found = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
@@ -116,11 +147,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if "-" in text:
             found += [(m.start(), 6, m.end()) for m in _ID_NUMBER.finditer(text)]
     if "[at]" in text or "(at)" in text:
-        found += [(m.start(), 7, m.end()) for m in _HIDDEN.finditer(text)]
+        found += [(a, 7, b) for a, b in hidden_emails(text)]
     if "=" in text or ":" in text:
-        for m in _ASSIGNED.finditer(text):
-            if _SECRET_NAME.search(text, max(0, m.start() - 20), m.start()):
-                found.append((m.start(1), 8, m.end(1)))
+        found += [(a, 8, b) for a, b in assigned_secrets(text)]
     if "AKIA" in text:
         found += [(m.start(), 8, m.end()) for m in _ACCESS_KEY.finditer(text)]
     if "Mr" in text or "Ms" in text or "Dr" in text or "Prof" in text:
@@ -175,6 +204,12 @@ def _format_vote(kind: int, value: str, digits: list[str]) -> int:
         return 2 if digits[0] in "01" else 1
     if kind == 6:
         return 2 if "".join(digits[:3]) in ("000", "666") or digits[3:5] == ["0", "0"] else 1
+    if kind == 7:
+        local, domain = _HIDDEN_AT.split(value, maxsplit=1)
+        labels = _HIDDEN_DOT.split(domain)
+        return 2 if len(local.rstrip()) > 64 or len(labels) > 9 or max(map(len, labels)) > 63 else 1
+    if kind == 9:
+        return 2 if max(map(len, value.split())) > 41 else 0 if value.count(" ") > 3 else 1
     if kind == 8:
         return 1 if digits and any(c.isalpha() for c in value) else 2
     if kind == 2:

@@ -305,6 +305,29 @@ class TestPii:
         assert pii.find(none, pii.fit(none)).count() == 0
 
 
+class TestPiiWholeValues:
+    def test_candidates_are_not_cut(self):
+        value = "a1b2c3d4e5." * 38
+        name = "Ann" + " Bea" * 3
+        mail = "l" * 70 + " [at] " + ".".join(["x" * 70] * 12)
+        cases = [(f"token = {value} end", value), (f"see {'p' * 300}:{'q' * 300}?token={value} end", value), (f"secret: token: {value}", value)]
+        cases += [(f"by Dr. {name} at", name), (f"write {mail} now", mail)]
+        for text, whole in cases:
+            assert whole in [text[a:b] for a, _, b in pii.candidates(text, [])]
+        assert pii.described(cases[-1][0], (6, 7, 6 + len(mail)))[1] == 2
+
+    def test_long_runs_take_linear_time(self):
+        for piece in ("token=", "token= ", "a", "a[at]", "a [at] b.", "[at]", "Mr A", "Mr Ab "):
+            pii.spans_of(piece * 100_000 + " x[at]", pii.Model(np.zeros((0, 9), int), np.zeros(0)))
+
+    def test_nothing_of_a_long_secret_stays(self, spark):
+        value = "".join(f"{i:03d}xyz" for i in range(70))
+        rows = [(i, f'{prose(i, 9)} token = "{i:04d}abcd{i * 7919:012d}ef" {prose(i, 5)}') for i in range(30)] + [(99, f"password: {value} end")]
+        given = spark.createDataFrame(rows, "doc_id long, text string")
+        clean = {r["doc_id"]: r["text"] for r in pii.redact(given, pii.fit(given)).collect()}
+        assert clean[99] == "password: <secret> end"
+
+
 def brute_groups(prints):
     values = sorted(set(prints.values()))
     parent = {v: v for v in values}
