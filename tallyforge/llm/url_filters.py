@@ -105,20 +105,20 @@ def train(labelled: list[tuple[str, str, int]]) -> np.ndarray:
 
 def default_labels() -> list[tuple[str, str, int]]:
     rows = [(u, 1) for u in UNWANTED] + [(u, 0) for u in WANTED]
-    return [(h.replace(".test", ""), s + p, label) for u, label in rows for h, s, p in [u.partition("/")]]
+    return [(whole_name(h), s + p, label) for u, label in rows for h, s, p in [u.partition("/")]]
 
 
 def scored(parts: DataFrame, weights: np.ndarray) -> DataFrame:
     """``parts`` (with ``host`` and ``path``) and ``score``, how likely a url is unwanted.
-    The public suffix and the usual first labels of a host say nothing and are left out."""
+    A host is read as a whole and as a host under a suffix of two labels; the higher counts."""
     names = parts.columns
     at_host, at_path = names.index("host"), names.index("path")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores = []
         for h, p in zip(batch.column(at_host).to_pylist(), batch.column(at_path).to_pylist(), strict=True):
-            slots = grams(own_name(h), p)
-            z = weights[slots].sum() * max(1, len(slots)) ** -0.5 + weights[-1] if h else weights[-1] - 9
+            read = [grams(name, p) for name in readings(h)] if h else []
+            z = max((weights[s].sum() * max(1, len(s)) ** -0.5 + weights[-1] for s in read), default=weights[-1] - 9)
             scores.append(float(1 / (1 + np.exp(-z))))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "score"])
 
@@ -126,10 +126,18 @@ def scored(parts: DataFrame, weights: np.ndarray) -> DataFrame:
     return map_batches(parts, work, f"{schema}, score double")
 
 
-def own_name(name: str) -> str:
-    """A host without its last two labels where three are left, and without www, m, blog."""
+def whole_name(name: str) -> str:
+    """A host without its last label and without a leading ``www``, where others are left."""
     labels = name.split(".")
-    return ".".join(x for x in labels[: max(1, len(labels) - 2)] if x not in ("www", "m", "blog")) or labels[0]
+    labels = labels[:-1] or labels
+    return ".".join(labels[1:] if labels[0] == "www" and len(labels) > 1 else labels)
+
+
+def readings(name: str) -> list[str]:
+    """The whole name and, as the last two labels may be a suffix under which hosts of
+    others stand, what is before them without www, m and blog. The whole name always counts."""
+    own = ".".join(x for x in name.split(".")[:-2] if x not in ("www", "m", "blog"))
+    return list(dict.fromkeys(x for x in (whole_name(name), own) if x))
 
 
 def judged(pages: DataFrame, labelled: list[tuple[str, str, int]] | None = None) -> DataFrame:

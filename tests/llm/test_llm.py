@@ -202,6 +202,17 @@ class TestUrlFilters:
             assert (row["host"], row["path"], row["rule"], row["verdict"]) == (host, path, rule, verdict)
 
 
+class TestRegisteredNames:
+    BLOCKED = ("www.casino-win.org", "m.casino-win.org", "blog.casino-win.org", "shop.casino-win.org", "casino-win.org")
+    BLOCKED += ("shop.cheap-pills.org", "www.spam-farm.org", "m.spam-farm.example.org", "a.b.online-casino.org", "online-casino.co.uk")
+    ALLOWED = ("www.library.org", "shop.museum.org", "m.weather.org", "blog.example.org", "www.org", "m.org", "org", "...")
+
+    def test_the_registered_name_counts(self, spark):
+        rows = [(h, f"https://{h}/en/12") for h in self.BLOCKED + self.ALLOWED]
+        got = url_filters.judged(spark.createDataFrame(rows, "page_id string, url string")).collect()
+        assert {r["page_id"] for r in got if r["verdict"] == "block"} == set(self.BLOCKED)
+
+
 class TestMainText:
     PAGES = {
         "<html><body><nav><a href=1>Go</a></nav><article><h1>T</h1><p>One&nbsp;two\n<b>th</b>ree<br>four<p>Five &amp; six</article>"
