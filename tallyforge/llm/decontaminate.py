@@ -6,7 +6,14 @@ word inside a sentence or a listed given name; a run of them is one). Where a ca
 word opens a window it may also be the first word of a pasted text, so such windows of
 documents are tried both ways. Windows of eight
 tokens, at least half of them words, are hashed; an item of four to seven tokens is one
-window of its own length; items with fewer tokens say too little and are never matched.
+window of its own length.
+
+An item without such a window (arithmetic, many names, Title Case), and one with a script
+that is written without spaces, is also matched exactly: its real values in lower case,
+with operators, and each letter of such a script for itself, as its words have no edges.
+It is found where the whole sequence stands; it is cut into windows of eight for the join
+alone, all of which must match at one offset. Items of fewer than four exact tokens say too
+little and are never matched.
 
 Windows of documents are first held against a bitmap of the benchmark's hashes, whose size
 is fixed, and the survivors are joined with the benchmark's windows by hash and template.
@@ -54,6 +61,24 @@ _CAPITAL, _UNIT_WORD, _LISTED = 8, 16, 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Operators of exact sequences, and letters of scripts without spaces: Thai to Tibetan,
+#: Burmese, Khmer, kana, and Chinese characters.
+_EXACT = re.compile(r"[^\W\d_]+|\d+(?:[.,:]\d+)*|[-+*/=<>^%$€£°×÷−]")
+_UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+)
+
+
+def _code(token: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(token.encode(), 11)
+
+
+_codes = Remembered(_code, 100_000)
+
+
 def _kind(token: str) -> tuple[int, int]:
     """Kind and code of a token."""
     import xxhash
@@ -75,21 +100,48 @@ _UNIT_WORDS, _NAME_WORDS, _SIGNS = frozenset(UNITS.split()), frozenset(NAMES.spl
 _kinds = Remembered(_kind, 300_000)
 
 
-def tokens(text: str | None) -> list[str]:
+def tokens(text: str | None, pattern: re.Pattern[str] = _TOKEN) -> list[str]:
     """Tokens of a text, cut in pieces that end at white space."""
     text = text or ""
     if len(text) <= PIECE:
-        return _TOKEN.findall(text)
+        return pattern.findall(text)
     found, start = [], 0
     while start < len(text):
         stop = min(len(text), start + PIECE)
         while stop < len(text) and not text[stop].isspace():
             stop += 1
-        found += _TOKEN.findall(text, start, stop)
+        found += pattern.findall(text, start, stop)
         start = stop
     return found
 
 
+def exact_tokens(text: str | None) -> list[str]:
+    """Real values in lower case; letters of scripts without spaces one by one."""
+    found = []
+    for token in tokens(text, _EXACT):
+        if token.isascii() or not _UNSPACED.search(token):
+            found.append(token.lower())
+            continue
+        at = 0
+        for m in _UNSPACED.finditer(token):
+            found += [token[at : m.start()].lower()] * (m.start() > at) + [m[0]]
+            at = m.end()
+        found += [token[at:].lower()] * (at < len(token))
+    return found
+
+
+def exact_windows(found: list[str], width: int) -> np.ndarray:
+    """Hash of every window of exact tokens."""
+    n = len(found) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    codes = np.fromiter(map(_codes.__getitem__, found), np.uint64, len(found))
+    total = np.zeros(n, np.uint64)
+    for k in range(width):
+        total = total * _BASE + codes[k : k + n]
+    return total
+
+
 class Templates:
     """Template tokens of several texts, one after the other."""
 
@@ -165,6 +217,7 @@ class Templates:
         return " ".join(shown), slots
 
 
+#: A negative width is that of a window of exact tokens, which has no slots.
 _ROWS = "place bigint, width int, hash bigint, template string, slots array<string>"
 
 
@@ -182,10 +235,12 @@ def _rows(kept: list[list], keys: list[pa.Array], names: list[str]) -> pa.Record
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """Windows of each item: ``item_id``, place, width, hash, template, slots, ``windows``
-    (their number in the item)."""
+    (their number in the item, one for an item with exact windows only) and ``exact``
+    (the number of its exact windows)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = Templates(batch.column(1).to_pylist())
+        texts = batch.column(1).to_pylist()
+        found = Templates(texts)
         sizes = np.bincount(found.row, minlength=batch.num_rows)
         kept, rows = [[], [], [], [], []], []
         for width in range(SHORTEST, WIDTH + 1):
@@ -196,11 +251,26 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                     for column, value in zip(kept, (int(place - found.start[row]), width, hashed, *found.template(int(place), width)), strict=True):
                         column.append(value)
         total = np.bincount(np.array(rows, np.int64), minlength=batch.num_rows)
+        exact = np.zeros(batch.num_rows, np.int64)
+        for row, text in enumerate(texts):
+            if total[row] and not _UNSPACED.search(text):
+                continue
+            whole = exact_tokens(text)
+            if len(whole) >= SHORTEST:
+                width = min(WIDTH, len(whole))
+                hashes = exact_windows(whole, width)
+                exact[row] = len(hashes)
+                for place, hashed in enumerate(hashes):
+                    rows.append(row)
+                    for column, value in zip(kept, (place, -width, hashed, " ".join(whole[place : place + width]), []), strict=True):
+                        column.append(value)
         made = _rows(kept, [batch.column(0).take(pa.array(rows, pa.int64()))], ["item_id"])
-        return made.append_column("windows", pa.array(total[np.array(rows, np.int64)], pa.int64()))
+        of = np.array(rows, np.int64)
+        made = made.append_column("windows", pa.array(np.maximum(total, 1)[of], pa.int64()))
+        return made.append_column("exact", pa.array(exact[of], pa.int64()))
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    return map_batches(benchmark.select("item_id", "text"), work, f"item_id {kind}, {_ROWS}, windows bigint")
+    return map_batches(benchmark.select("item_id", "text"), work, f"item_id {kind}, {_ROWS}, windows bigint, exact bigint")
 
 
 def document_windows(docs: DataFrame, bits: bytes, widths: list[int]) -> DataFrame:
@@ -218,7 +288,7 @@ def document_windows(docs: DataFrame, bits: bytes, widths: list[int]) -> DataFra
                 size += len(texts[high] or "")
                 high += 1
             found = Templates(texts[low:high])
-            for width, opened in product(widths, (False, True)):
+            for width, opened in product([w for w in widths if w > 0], (False, True)):
                 places, hashes = found.windows(width, opened)
                 passed = marked[(hashes >> np.uint64(64 - PLACES)).astype(np.int64)]
                 for place, hashed in zip(places[passed].tolist(), hashes[passed], strict=True):
@@ -226,6 +296,14 @@ def document_windows(docs: DataFrame, bits: bytes, widths: list[int]) -> DataFra
                     rows.append(low + row)
                     for column, value in zip(kept, (place - int(found.start[row]), width, hashed, *found.template(place, width, opened)), strict=True):
                         column.append(value)
+            for row in range(low, high if widths and widths[0] < 0 else low):
+                whole = exact_tokens(texts[row])
+                for width in (-w for w in widths if w < 0):
+                    hashes = exact_windows(whole, width)
+                    for place in np.nonzero(marked[(hashes >> np.uint64(64 - PLACES)).astype(np.int64)])[0].tolist():
+                        rows.append(row)
+                        for column, value in zip(kept, (place, -width, hashes[place], " ".join(whole[place : place + width]), []), strict=True):
+                            column.append(value)
             low = high
         index = pa.array(rows, pa.int64())
         return _rows(kept, [batch.column(0).take(index), batch.column(1).take(index)], ["doc_id", "copy"])
@@ -244,21 +322,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bitmap[[r[0] for r in items.select(place).distinct().toLocalIterator()]] = True
     widths = sorted(r[0] for r in items.select("width").distinct().collect())
     theirs = items.select(
-        "item_id", F.col("place").alias("item_place"), "width", "hash", "template", F.col("slots").alias("item_slots"), "windows"
+        "item_id", F.col("place").alias("item_place"), "width", "hash", "template", F.col("slots").alias("item_slots"), "windows",
+        F.when(F.col("width") < 0, F.col("exact")).otherwise(0).alias("exact"),
     )
     pairs = lookup_join(document_windows(docs, np.packbits(bitmap).tobytes(), widths), theirs, ["hash", "width", "template"])
     # copies of one row are told apart by nothing, so a match counts once for all of them
     pairs = pairs.withColumn("offset", F.col("place") - F.col("item_place"))
     slots = F.transform(F.arrays_zip("item_slots", "slots"), lambda s: F.struct(s["item_slots"].alias("a"), s["slots"].alias("b")))
-    whole = pairs.groupBy("doc_id", "copy", "item_id", "windows", "offset").agg(
+    whole = pairs.groupBy("doc_id", "copy", "item_id", "windows", "exact", "offset").agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots")
     )
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
+    # an exact occurrence is the whole item, so all of its windows match
+    complete = (F.col("exact") == 0) | (F.size("places") == F.col("exact"))
+    places = F.when(F.col("exact") == 0, F.col("places"))
     by_item = (
-        whole.where(consistent)
+        whole.where(consistent & complete)
         .groupBy("doc_id", "copy", "item_id", "windows")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
+            F.greatest(
+                F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long"),
+                F.max(F.when(F.col("exact") > 0, F.col("windows"))),
+            ).alias("n_matched"),
             F.min(F.forall("slots", lambda s: s["a"] == s["b"])).alias("verbatim"),
         )
     )

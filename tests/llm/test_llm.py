@@ -276,6 +276,30 @@ class TestLeaks:
         assert {(i["item_id"], i["item_id"]) for i in items} <= got and not [d for d, _ in got if d >= 1000]
 
 
+class TestExactLeaks:
+    ITEMS = [
+        (1, "Compute 12 + 7 * 3 - 5 / 9"),
+        (2, "What Is The Capital Of France"),
+        (3, "東京都の人口は何人ですか"),
+        (4, "Alice Bob Carol 7 David Emma 8 Frank Grace 9"),
+        (5, "ประเทศไทยมีกี่จังหวัด"),
+        (6, "12 7"),
+        (7, "一つの文。二つの文。三つの文。四つの文。"),
+        (8, "Which Of The Following Great Rivers Flows Through The Old Town Of Prague"),
+    ]
+
+    def test_items_without_a_template_window(self, spark):
+        items = spark.createDataFrame(self.ITEMS, "item_id long, text string")
+        rows = [(i, f"{prose(i)} {text} {prose(9)}") for i, text in self.ITEMS if i != 7]
+        rows += [(13, "彼女は東京都の人口は何人ですかと言った"), (17, "前の一つの文。二つの文。三つの文。四つの文、後の"), (21, prose(3) + " 12 + 7 * 3 - 5 / 8")]
+        rows += [(22, "Compute 12 + 7 * 3 then " + prose(4) + " 7 * 3 - 5 / 9"), (23, "What Is The Capital Of Spain")]
+        rows += [(24, "東京都の人口は多い"), (25, " ".join(self.ITEMS[7][1].split()[:-1]))]
+        found = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+        want = {(i, i) for i in (1, 2, 3, 4, 5, 8)} | {(13, 3), (17, 7)}
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+        assert all(r["verbatim"] and r["n_matched"] == r["n_windows"] for r in found)
+
+
 def brute_base(text):
     def luhn(d):
         return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
