@@ -135,7 +135,8 @@ def keyed_state(
     """Per-key state ``update(new values, old state) -> new state`` over the column ``value``
     (1 for every row if there is none); values and state are of type ``kind``.
 
-    ``update`` sees every value of a batch at once. ``combine`` folds the values of a key
+    ``update`` takes the Arrow frames of a key one after the other, each with the state
+    after those before, so no list holds all values of a hot key. ``combine`` folds the values of a key
     per Arrow batch before the shuffle; give it where ``update`` allows that, as it lets a
     hot key cross as few rows.
     """
@@ -147,8 +148,10 @@ def keyed_state(
             yield frame.groupby("key", as_index=False, sort=False, dropna=False)["value"].agg(combine)
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        values = [v for frame in frames for v in frame["value"].tolist()]
-        new = update(values, state.get[0] if state.exists else None)
+        new = state.get[0] if state.exists else None
+        for frame in frames:
+            if len(frame):
+                new = update(frame["value"].tolist(), new)
         state.update((new,))
         yield pd.DataFrame({"key": [k[0]], "state": [new]})
 

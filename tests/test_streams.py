@@ -69,6 +69,22 @@ def test_state_sees_values_and_source_is_read_once(spark, tmp_path):
     assert read.value == 5
 
 
+def test_values_of_a_hot_key_are_never_one_list(spark, tmp_path):
+    src = tmp_path / "in"
+    _add(src, "1.txt", [f"x {i}" for i in range(500)])
+    rows = _lines(spark, src).select(F.split("value", " ")[0].alias("k"), F.split("value", " ")[1].alias("v"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "50")
+    try:
+        longest = jobs.keyed_state(rows, "k", lambda values, old: max(len(values), old or 0), F.col("v"))
+        table = sinks.KeyedTable(spark, str(tmp_path / "out"), "key", ["state"])
+        jobs.drain(jobs.start(longest, lambda b, i: table.upsert(b, i, F.col("state")), str(tmp_path / "c"), "update"))
+    finally:
+        spark.conf.set(name, before)
+    assert 0 < table.read().first().state <= 50
+
+
 def test_new_checkpoint_keeps_old_batches(spark, tmp_path):
     table = sinks.KeyedTable(spark, str(tmp_path / "t"), "k", ["v"])
     for run, v, o in (("a", "old", 1), ("b", "new", 2)):
