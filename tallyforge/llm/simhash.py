@@ -187,8 +187,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Of each group of near-duplicates the row with the least ``key``; rows without a
-    ``key`` stay, and of rows that repeat a ``key`` one."""
-    keep = near_duplicates(docs.where(F.col(key).isNotNull()), key).where(F.col("component_id") == F.col(key)).select(key)
-    named = docs.join(keep.distinct(), key, "left_semi").dropDuplicates([key])
+    """Of each group of near-duplicates one row, that of the least ``key`` and hash of its
+    text; rows without a ``key`` stay. Different texts that share a ``key`` are told apart."""
+    hashed = F.xxhash64("text")
+    who = F.struct(F.col(key).alias(key), hashed.alias("_text_hash")).alias("_who")
+    groups = near_duplicates(docs.where(F.col(key).isNotNull()).select(who, "text"), "_who")
+    keep = groups.where(F.col("component_id") == F.col("_who")).select("_who.*").distinct()
+    both = [key, "_text_hash"]
+    named = docs.withColumn("_text_hash", hashed).join(keep, both, "left_semi").dropDuplicates(both)
     return named.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -436,6 +436,12 @@ class TestSimHash:
         assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 4, 5, 6, 7]
         assert simhash.near_duplicates(none).count() == 0 == simhash.one_of_each(none).count()
 
+    def test_texts_that_share_a_key(self, spark):
+        a, b = prose(31, 200), prose(32, 200)
+        rows = [(5, a), (5, b), (5, b), (7, b), (9, a), (5, None), (5, "")]
+        kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted([(5, a), (5, b), (5, "")])
+
     def test_components(self, spark):
         edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 3)], "a long, b long")
         got = {r["node"]: r["component"] for r in components(edges, "a", "b").collect()}
