@@ -216,17 +216,22 @@ def _shares(counts: list[float]) -> np.ndarray:
 
 
 def _landmarks(strings: list[str], count: int) -> list[str]:
-    """Greedy choice by the largest residual (pivoted Cholesky of the kernel)."""
-    pool = [s for s in strings if len(s) >= ORDER][: 4 * count]
+    """Greedy choice by the largest residual among all strings (pivoted Cholesky of the
+    kernel)."""
+    pool = [s for s in strings if len(s) >= ORDER]
     if not pool:
         return []
+    known, table = features(pool), np.zeros(ALPHABET**ORDER)
     rest, basis, taken = np.ones(len(pool)), np.zeros((len(pool), 0)), []
     for _ in range(min(count, len(pool))):
         at = int(np.argmax(rest))
         if rest[at] < 1e-3:
             break
         taken.append(pool[at])
-        column = (kernel(pool, [pool[at]])[:, 0] - basis @ basis[at]) / np.sqrt(rest[at])
+        numbers, values = known[at]
+        table[numbers] = values
+        column = (np.array([table[n] @ v for n, v in known]) - basis @ basis[at]) / np.sqrt(rest[at])
+        table[numbers] = 0
         basis = np.column_stack([basis, column])
         rest = np.maximum(rest - column * column, 0)
         rest[at] = 0

@@ -179,6 +179,12 @@ class TestToxicity:
         assert toxicity.score(none, empty).count() == 0
 
 
+class TestLandmarks:
+    def test_all_strings_are_looked_at(self):
+        strings = [f"aaaa{'b' * (i % 9)}aa" for i in range(60)] + ["stupidity", "zyxwvut"]
+        assert set(toxicity._landmarks(strings, 3)[1:]) == {"stupidity", "zyxwvut"}
+
+
 class TestUrlFilters:
     CASES = [
         ("http://A.com/x?y", "a.com", "/x", "com/", "allow"),
