@@ -11,6 +11,7 @@ from tallyforge.llm import (
     bpe,
     decontaminate,
     html_text,
+    mining_queries,
     pii,
     quality_model,
     quality_rules,
@@ -21,8 +22,8 @@ from tallyforge.llm import (
 )
 from tallyforge.llm.common import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**mining_queries.QUERIES}
+SQL: dict[str, str] = {**mining_queries.SQL}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
