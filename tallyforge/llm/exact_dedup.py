@@ -40,6 +40,8 @@ _SETTINGS = {
     _STREAM + "stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     _STREAM + "stateStore.rocksdb.boundedMemoryUsage": "true",
     _STREAM + "stateStore.rocksdb.maxMemoryUsageMB": str(STATE_MB),
+    # space reserved ahead is megabytes for each store, whatever it holds
+    _STREAM + "stateStore.rocksdb.allowFAllocate": "false",
     _STREAM + "noDataMicroBatches.enabled": "false",
 }
 
