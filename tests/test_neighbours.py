@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import factors, neighbours
+from tallyforge.operators import blocks, factors, neighbours
 
 # User 6 rated everything; items 5 and 6 share no rater but user 6; item 7 has a rater of its own.
 ROWS = [
@@ -101,11 +101,14 @@ def test_recommendations_equal_brute_force(spark, kind):
         assert got.get(u, []) == want[u], u
 
 
-@pytest.mark.parametrize("blocks", [(4096, 1024), (7, 3)])
-def test_blocked_estimates_equal_joined_terms(spark, monkeypatch, blocks):
-    monkeypatch.setattr(neighbours, "USER_BLOCK", blocks[0])
-    monkeypatch.setattr(neighbours, "TARGET_BLOCK", blocks[1])
-    monkeypatch.setattr(neighbours, "_TERMS_AT_ONCE", 50)
+def _small_blocks(monkeypatch, users, targets, sources):
+    for name, size in (("USER_BLOCK", users), ("TARGET_BLOCK", targets), ("SOURCE_BLOCK", sources), ("TERMS_AT_ONCE", 50)):
+        monkeypatch.setattr(blocks, name, size)
+
+
+@pytest.mark.parametrize("sizes", [(4096, 1024, 32768), (7, 3, 32768), (7, 8, 5)])
+def test_blocked_estimates_equal_joined_terms(spark, monkeypatch, sizes):
+    _small_blocks(monkeypatch, *sizes)
     rng = np.random.default_rng(5)
     t = _table(spark, [(u, i, int(rng.integers(1, 6))) for u in range(30) for i in range(40) if rng.random() < 0.2])
     sims = neighbours.similarities(neighbours.co_rating_sums(t))
@@ -125,6 +128,32 @@ def test_blocked_estimates_equal_joined_terms(spark, monkeypatch, blocks):
     for r in sorted(neighbours.estimates(t, sims, 6, best=3).collect(), key=lambda r: (-r.score, r.item_id)):
         best.setdefault(r.user_id, []).append(r.item_id)
     assert {u: v[:3] for u, v in ranked.items()} == {u: v[:3] for u, v in best.items()}
+    pairs = spark.createDataFrame([(u, i) for u in range(0, 33, 3) for i in range(0, 44, 4)], "user_id int, item_id int")
+    stated = {r[:2]: r[2] for r in map(tuple, neighbours.stated_estimates(t, sims, pairs.union(pairs), 6).collect())}
+    every = {r[:2]: r[2] for r in map(tuple, neighbours.estimates(t, sims, 6).collect())}
+    rated = {(r.user_id, r.item_id) for r in t.collect()}
+    assert len(stated) == pairs.count()
+    assert all(stated[p] == pytest.approx(every.get(p)) if every.get(p) else stated[p] is None for p in stated if p not in rated)
+
+
+def test_cells_are_bounded_while_items_grow(spark, monkeypatch):
+    """Strips of a cell stay below the source block and terms of a strip below the other blocks,
+    however many items there are; links go to blocks of users that rated their source only."""
+    _small_blocks(monkeypatch, 16, 8, 20)
+    rng = np.random.default_rng(9)
+    for items in (40, 160):
+        t = neighbours._typed(_table(spark, [(u, i, 3) for i in range(items) for u in rng.choice(100, 3, replace=False).tolist()]))
+        sims = neighbours.similarities(neighbours.co_rating_sums(t)).select("item_a", "item_b", "similarity")
+        grid = blocks.Grid.of(100, items, 1)
+        assert grid.targets == items // 8 and grid.sources == items // 20
+        rows = blocks.cells(t, sims, grid).select("ub", "tb", "sb", "source", F.size("ub_ids").alias("u"), F.size("tb_ids").alias("t")).collect()
+        strips = {}
+        for r in rows:
+            strips[r.ub, r.tb, r.sb] = strips.get((r.ub, r.tb, r.sb), 0) + 1
+        assert max(strips.values()) <= 2 * 2 * 20  # an item's links and its own mark; hashing fills blocks unevenly
+        assert max(r.u for r in rows) <= 2 * 16 and max(r.t for r in rows) <= 3 * 8
+        raters = {(r.item_id, r.ub) for r in t.select("item_id", blocks.numbered("user_id", grid.users).alias("ub")).collect()}
+        assert {(r.source, r.ub) for r in rows} == raters
 
 
 def test_latent_space_and_profiles(spark):
