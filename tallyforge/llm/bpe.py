@@ -63,7 +63,7 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known = Remembered(self.word, REMEMBERED)
-        self.first = Remembered(self.stretch, REMEMBERED)
+        self.first = Remembered(self.stretch, REMEMBERED // 32)
         self.later = Remembered(lambda piece: self.stretch(" " + piece), REMEMBERED)
 
     def merged(self, word: bytes) -> list[int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -32,9 +33,11 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     made of them stay small next to the batch itself."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Remembered.keep(work.__module__)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 yield work(batch.slice(start, ROWS))
+        pa.default_memory_pool().release_unused()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(each, schema)
@@ -42,11 +45,24 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
 
 class Remembered(dict):
     """Results by argument, in two generations of at most ``size``: what is used again while
-    the younger one fills stays. Python workers live on, so what they keep must stay small."""
+    the younger one fills stays. Python workers live on and serve one operator after another,
+    so a worker keeps what one module remembers and forgets that of all others."""
+
+    _all: list[weakref.ref] = []
 
     def __init__(self, make: Callable[[str], Any], size: int, longest: int = 64):
         super().__init__()
         self.make, self.size, self.longest, self.older = make, size, longest, {}
+        Remembered._all.append(weakref.ref(self))
+
+    @staticmethod
+    def keep(module: str) -> None:
+        """Forget what functions of other modules have made."""
+        Remembered._all = [r for r in Remembered._all if r() is not None]
+        for other in (r() for r in Remembered._all):
+            if other is not None and other.make.__module__ != module:
+                other.clear()
+                other.older = {}
 
     def __missing__(self, text: str) -> Any:
         found = self.older.get(text)
