@@ -6,9 +6,9 @@ in a trie: the first word leads to a container, a hash table from the packed ids
 words that follow to a count. A container that outgrows its bound bursts into one container
 per next word, so the trie stays shallow and deep only where phrases are many. When a task
 holds more entries than its budget, whole subtrees, largest first, are spilled as sorted
-runs. Runs are written to the shared folder, cut into ranges of the phrase order, so that a
-range is a set of neighbouring prefixes and a prefix with very many phrases gets several,
-and merged there.
+runs, in which a phrase stands once. Runs are dealt by prefix, the words of a phrase but the
+last and two at least, and merged there: so neither a frequent word nor a frequent pair
+brings all its phrases to one task.
 
 Three rounds, as a phrase is never more frequent than its parts: words; pairs of frequent
 words; phrases of three and four words all of whose pairs are frequent. What is frequent
@@ -297,10 +297,13 @@ def _runs(docs: DataFrame, sizes: tuple[int, ...], known: bytes | None, burst: i
     return docs.mapInArrow(work, _ROUND)
 
 
-def _merged(runs: DataFrame, label: str) -> DataFrame:
-    """Runs written, cut into ranges of the phrase order, and summed there."""
-    kept = written(runs, f"{label}-runs").repartitionByRange("lang", "phrase")
-    return kept.groupBy("lang", "phrase").agg(F.sum("count").alias("count"), F.first("size").alias("size"))
+def _merged(runs: DataFrame, longest: int) -> DataFrame:
+    """Runs dealt by the prefix of their phrases and summed: ``(lang, phrase, count)``."""
+    prefix = F.col("phrase")
+    if longest > 2:
+        prefix = F.when(F.col("size") > 3, F.substring_index("phrase", " ", 3)).otherwise(F.substring_index("phrase", " ", 2))
+    placed = runs.select("lang", "phrase", "count", F.hash("lang", prefix).alias("place"))
+    return placed.repartition("place").groupBy("place", "lang", "phrase").agg(F.sum("count").alias("count")).drop("place")
 
 
 def _bitmap(frequent: DataFrame) -> bytes:
@@ -333,17 +336,18 @@ def frequencies(
     given = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")
     ).where("text <> ''")
-    single = written(_merged(_runs(given, (1,), None, burst, budget, words), "words"), "words")
+    single = written(_merged(_runs(given, (1,), None, burst, budget, words), 1), "words")
     totals = single.groupBy("lang").agg(F.sum("count").alias("n"))
     single = single.where(F.col("count") >= least)
 
     def longer(sizes: tuple[int, ...], parts: DataFrame, label: str) -> DataFrame:
         runs = _runs(given, sizes, _bitmap(parts), burst, budget, words)
-        return written(_merged(runs, label).where(F.col("count") >= least), label)
+        return written(_merged(runs, max(sizes)).where(F.col("count") >= least), label)
 
     pairs = longer((2,), single, "pairs")
     more = longer((3, 4), pairs, "phrases")
-    return written(single.unionByName(pairs).unionByName(more), "frequencies"), totals
+    size = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
+    return written(single.unionByName(pairs).unionByName(more).withColumn("size", size), "frequencies"), totals
 
 
 def _joined(words: str | Column, start: Column, length: Column) -> Column:
