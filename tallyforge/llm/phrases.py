@@ -6,9 +6,9 @@ in a trie: the first word leads to a container, a hash table from the packed ids
 words that follow to a count. A container that outgrows its bound bursts into one container
 per next word, so the trie stays shallow and deep only where phrases are many. When a task
 holds more entries than its budget, whole subtrees, largest first, are spilled as sorted
-runs, in which a phrase stands once. Runs are dealt by prefix, the words of a phrase but the
-last and two at least, and merged there: so neither a frequent word nor a frequent pair
-brings all its phrases to one task.
+runs, in which a phrase stands once. Runs are dealt by prefix and merged there. The prefix is
+the first word; behind a word that is more than one in ``HOT`` of all words it goes on, so
+such a word or a frequent pair does not bring all its phrases to one task.
 
 Three rounds, as a phrase is never more frequent than its parts: words; pairs of frequent
 words; phrases of three and four words all of whose pairs are frequent. What is frequent
@@ -50,6 +50,8 @@ ID_BITS = 21
 #: Entries of a container before it bursts, of a task's trie before it spills, and words of
 #: a task before it starts anew.
 BURST, BUDGET, WORDS = 8_192, 600_000, 400_000
+#: A word of which there is more than one in so many has its phrases dealt by further words.
+HOT = 2_000
 #: Words that are counted by sorting before they go to the trie.
 CHUNK = 1 << 18
 
@@ -58,7 +60,7 @@ _MASK = (1 << ID_BITS) - 1
 _TABLE = bytes(
     _BREAK if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
-_ROUND = "lang string, size int, phrase string, count long"
+_ROUND = "place int, lang string, phrase string, count long"
 
 
 class Trie:
@@ -162,14 +164,16 @@ def _hash(word: bytes) -> int:
 class Counter:
     """Counts the phrases of one language within one task."""
 
-    def __init__(self, lang: str, sizes: tuple[int, ...], known: np.ndarray | None, burst: int, budget: int, words: int):
-        self.lang, self.sizes, self.known = lang, sizes, known
+    def __init__(
+        self, lang: str, sizes: tuple[int, ...], known: np.ndarray | None, hot: frozenset[bytes], burst: int, budget: int, words: int
+    ):
+        self.lang, self.sizes, self.known, self.hot = lang, sizes, known, hot
         self.burst, self.budget, self.words = burst, budget, words
         self._anew()
 
     def _anew(self) -> None:
         self.ids, self.trie = _Ids(), Trie(self.burst)
-        self.hashes, self.waiting, self.held = np.zeros(0, np.uint64), [], 0
+        self.hashes, self.is_hot, self.waiting, self.held = np.zeros(0, np.uint64), np.zeros(0, bool), [], 0
 
     def _allowed(self, ids: np.ndarray, n: int) -> np.ndarray:
         """For every place whether the ``n`` words that start there have no edge among them and
@@ -190,10 +194,23 @@ class Counter:
                 ok[: len(ids) - k] &= pairs[k:]
         return ok
 
-    def _frequent(self, ids: list[np.ndarray]) -> np.ndarray:
+    def _hashed(self) -> None:
+        """Hashes of words that came since the last time."""
         if len(self.hashes) < len(self.ids):
             new = list(self.ids)[len(self.hashes):]
             self.hashes = np.concatenate([self.hashes, np.array([_hash(w) for w in new], np.uint64)])
+            self.is_hot = np.concatenate([self.is_hot, np.array([w in self.hot for w in new], bool)])
+
+    def _prefix(self, ids: list[np.ndarray]) -> np.ndarray:
+        """Where phrases are merged, by the hash of their prefix."""
+        self._hashed()
+        place, step = self.hashes[ids[0]], np.uint64(0x9E3779B97F4A7C15)
+        for column in ids[1:3]:
+            place = np.where(self.is_hot[ids[0]], place * step + self.hashes[column], place)
+        return ((place ^ place >> np.uint64(31)) * step >> np.uint64(33)).astype(np.int32)
+
+    def _frequent(self, ids: list[np.ndarray]) -> np.ndarray:
+        self._hashed()
         at = _places([self.hashes[i] for i in ids], self.lang)
         return (self.known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
@@ -263,8 +280,8 @@ class Counter:
             phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ")) if n > 1 else parts[0]
             order = pc.sort_indices(phrase)
             made = {
+                "place": pa.array(self._prefix([columns[k][mine] for k in range(n)])).take(order),
                 "lang": pa.array([self.lang]).take(pa.array(np.zeros(len(mine), np.int64))),
-                "size": pa.array(np.full(len(mine), n, np.int32)),
                 "phrase": phrase.take(order).cast(pa.string()),
                 "count": pa.array(counts[mine]).take(order),
             }
@@ -273,8 +290,10 @@ class Counter:
                 yield run.slice(low, 50_000)
 
 
-def _runs(docs: DataFrame, sizes: tuple[int, ...], known: bytes | None, burst: int, budget: int, words: int) -> DataFrame:
-    """Sorted runs of counts: ``(lang, size, phrase, count)``, a phrase at most once in each."""
+def _runs(
+    docs: DataFrame, sizes: tuple[int, ...], known: bytes | None, hot: dict[str, frozenset[bytes]], burst: int, budget: int, words: int
+) -> DataFrame:
+    """Sorted runs of counts: ``(place, lang, phrase, count)``, a phrase at most once in each."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = None if known is None else spark.sparkContext.broadcast(known)  # of fixed size
@@ -285,7 +304,7 @@ def _runs(docs: DataFrame, sizes: tuple[int, ...], known: bytes | None, burst: i
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if lang not in counters:
-                    counters[lang] = Counter(lang, sizes, bits, burst, budget, words)
+                    counters[lang] = Counter(lang, sizes, bits, hot.get(lang, frozenset()), burst, budget, words)
                 yield from counters[lang].read(text)
             while sum(c.trie.entries for c in counters.values()) > 2 * budget or len(counters) > 64:
                 # many languages: those with most entries leave the task
@@ -297,13 +316,9 @@ def _runs(docs: DataFrame, sizes: tuple[int, ...], known: bytes | None, burst: i
     return docs.mapInArrow(work, _ROUND)
 
 
-def _merged(runs: DataFrame, longest: int) -> DataFrame:
-    """Runs dealt by the prefix of their phrases and summed: ``(lang, phrase, count)``."""
-    prefix = F.col("phrase")
-    if longest > 2:
-        prefix = F.when(F.col("size") > 3, F.substring_index("phrase", " ", 3)).otherwise(F.substring_index("phrase", " ", 2))
-    placed = runs.select("lang", "phrase", "count", F.hash("lang", prefix).alias("place"))
-    return placed.repartition("place").groupBy("place", "lang", "phrase").agg(F.sum("count").alias("count")).drop("place")
+def _merged(runs: DataFrame) -> DataFrame:
+    """Runs dealt by prefix and summed: ``(lang, phrase, count)``."""
+    return runs.repartition("place").groupBy("place", "lang", "phrase").agg(F.sum("count").alias("count")).drop("place")
 
 
 def _bitmap(frequent: DataFrame) -> bytes:
@@ -336,13 +351,17 @@ def frequencies(
     given = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")
     ).where("text <> ''")
-    single = written(_merged(_runs(given, (1,), None, burst, budget, words), 1), "words")
+    single = written(_merged(_runs(given, (1,), None, {}, burst, budget, words)), "words")
     totals = single.groupBy("lang").agg(F.sum("count").alias("n"))
     single = single.where(F.col("count") >= least)
+    whole = totals.agg(F.sum("n")).first()[0] or 0
+    hot: dict[str, frozenset[bytes]] = {}
+    for row in single.where(F.col("count") > whole / HOT).collect():  # fewer than HOT, whatever the corpus
+        hot[row["lang"]] = hot.get(row["lang"], frozenset()) | {row["phrase"].encode()}
 
     def longer(sizes: tuple[int, ...], parts: DataFrame, label: str) -> DataFrame:
-        runs = _runs(given, sizes, _bitmap(parts), burst, budget, words)
-        return written(_merged(runs, max(sizes)).where(F.col("count") >= least), label)
+        runs = _runs(given, sizes, _bitmap(parts), hot, burst, budget, words)
+        return written(_merged(runs).where(F.col("count") >= least), label)
 
     pairs = longer((2,), single, "pairs")
     more = longer((3, 4), pairs, "phrases")

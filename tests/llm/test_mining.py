@@ -68,6 +68,7 @@ def _found_phrases(df):
 @pytest.mark.parametrize("limits", [{}, TINY])
 def test_phrases_equal_plain_counts(spark, limits, monkeypatch):
     monkeypatch.setattr(phrases, "CHUNK", 7 if limits else phrases.CHUNK)
+    monkeypatch.setattr(phrases, "HOT", 9 if limits else phrases.HOT)
     rng = np.random.default_rng(4)
     vocabulary = ["New", "york", "the", "aé", "of", "東京", "x-y", "Zed", "ok"]
     rows = []
