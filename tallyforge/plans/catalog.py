@@ -5,6 +5,7 @@ from tallyforge.plans import (  # noqa: F401
     encode_queries,
     metric_queries,
     model_queries,
+    moment_queries,
     neighbour_queries,
     proof_queries,
     stream_queries,
