@@ -42,8 +42,12 @@ def test_score_terms_are_not_shuffled(spark):
     r = Tables(spark, SF).ratings
     sims = neighbours.similarities(neighbours.co_rating_sums(r))
     plan = _plan(neighbours.estimates(r, sims))
-    top = plan[: plan.index("FlatMapCoGroupsInArrow")]
-    assert "CartesianProduct" not in plan and "Join" not in top and "Exchange" not in top
+    # nothing moves above the cells, and what moves to them are strips: arrays joined by source
+    top, below = plan.split("MapInArrow run", 1)
+    assert "Join" not in top and "Exchange" not in top
+    strips = below[: below.index("FlatMapGroupsInArrow")]
+    assert "CartesianProduct" not in plan and re.search(r"Exchange hashpartitioning\(ub#\d+, tb#\d+, sb", strips)
+    assert re.findall(r"Join \[(\w+)#", strips) == ["source"] and "collect_list" in strips and "tb_ids" in strips
 
 
 def test_inventory_is_covered():
