@@ -126,14 +126,42 @@ class TestQualityRules:
         rows = [(i, f"shared line {i % 3} 12\n{prose(i, 25)}\n{'again ' * 9}", "en", f"s{i % 2}", 1, None, None) for i in range(40)]
         rows += [(90 + i, "Shared  LINE 0 77\n" * 30, "en", "s0", 1, None, None) for i in range(3)] + odd_rows()
         given = spark.createDataFrame(rows, DOCS)
-        got = quality_rules.judged(given, share=0.2, texts=3).select("doc_id", *quality_rules.COUNTS).toPandas()
+        got = quality_rules.judged(given, neighbours=2).select("doc_id", *quality_rules.COUNTS).toPandas()
         con = duckdb.connect()
         con.register("documents", given.toPandas())
-        want = con.sql(quality_rules.sql(share=0.2, texts=3)).df()[list(got.columns)]
+        want = con.sql(quality_rules.sql(neighbours=2)).df()[list(got.columns)]
         order = lambda df: sorted(map(tuple, df.astype(object).where(df.notna(), None).values.tolist()), key=repr)
         assert [tuple(map(str, r)) for r in order(got)] == [tuple(map(str, r)) for r in order(want)]
         assert got.n_removed_words.sum() > 0 and not got.kept.all() and got.kept.any()
 
+    def test_production_limits(self, spark):
+        def lines(*parts):
+            return "\n".join(parts)
+
+        common = [" ".join(f"{w}{x}" for x in "abcdefghijk") for w in ("share", "print", "send")]
+        text = lambda i, *shared: lines(prose(100 + i, 9), *(x for s in shared for x in (s, prose(200 + i + len(s), 2))))
+        rows = [(i, text(i, *common), "en", "a", 1, None, None) for i in range(6)]
+        # one surrounding however many copies, and a line that is changed in each near copy
+        same = lines(prose(1, 12), prose(2, 12), prose(3, 12))
+        rows += [(20 + i, same, "en", "a", 1, None, None) for i in range(40)]
+        rows += [(70 + i, lines(prose(5, 12), prose(6, 12), prose(7, 12), prose(300 + i, 5)), "en", "a", 1, None, None) for i in range(40)]
+        # four surroundings are below the limit; another host counts for itself
+        rows += [(120 + i, text(i, *common), "en", "b", 1, None, None) for i in range(4)]
+        # always last: only what stands before is counted
+        rows += [(140 + i, lines(prose(400 + i, 40), "all rights reserved"), "en", "c", 1, None, None) for i in range(5)]
+        given = spark.createDataFrame(rows, DOCS)
+        got = {r["doc_id"]: r for r in quality_rules.judged(given).collect()}
+        assert all(not got[i]["kept"] and not got[i]["base_failed"] for i in range(6))
+        assert {got[i]["n_removed_words"] for i in range(6)} == {33}
+        assert all(got[i]["kept"] and got[i]["n_removed_words"] == 0 for i in (*range(20, 60), *range(70, 110), *range(120, 124)))
+        assert all(got[i]["kept"] and got[i]["n_removed_words"] == 3 for i in range(140, 145))
+
+    def test_clashing_names(self, spark):
+        kind = "doc_id long, text string, source string, host string, copy long, `_row` int, n_lost int, `a.b` int"
+        given = spark.createDataFrame([(1, prose(1), "a", "h", 2, 3, 4, 5)], kind)
+        assert [tuple(r) for r in quality_rules.kept(given).collect()] == [tuple(r) for r in given.collect()]
+        assert quality_rules.judged(given).columns == [*given.columns, *quality_rules.COUNTS]
+
     def test_no_python_in_the_plan(self, docs):
         plan = quality_rules.judged(docs)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
