@@ -22,8 +22,11 @@ every value of a slot in the item stands for one and the same value in the docum
 question asked again with other numbers or names is caught, and a window that only has the
 same shape is not.
 
-An item leaks into a document when at least 30 % of its windows, or ten, match. Null and
-empty texts have no windows; repeated rows are reported alike, each with its ``doc_id``.
+An item leaks into a document when at least 30 % of its windows, or ten, match; but one
+window of an item that has more is a phrase, and so are windows that other items have too:
+two windows must match, one of them the item's own (if it has two, and any of its own).
+Null and empty texts have no windows, empty tables no leaks; repeated rows are reported
+alike, each with its ``doc_id``.
 """
 
 from __future__ import annotations
@@ -315,7 +318,8 @@ def document_windows(docs: DataFrame, bits: bytes, widths: list[int]) -> DataFra
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and leaked item: ``doc_id``, ``copy``, ``item_id``,
-    ``n_windows`` of the item, ``n_matched`` of them, ``verbatim`` (all slots equal)."""
+    ``n_windows`` of the item, ``n_matched`` of them, ``verbatim`` (all of them stand at one
+    offset with equal slots)."""
     items = written(benchmark_windows(benchmark), "benchmark-windows")
     place = F.shiftrightunsigned("hash", 64 - PLACES).cast("int")
     bitmap = np.zeros(1 << PLACES, bool)
@@ -325,30 +329,43 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_id", F.col("place").alias("item_place"), "width", "hash", "template", F.col("slots").alias("item_slots"), "windows",
         F.when(F.col("width") < 0, F.col("exact")).otherwise(0).alias("exact"),
     )
+    # windows that stand in one item only, and how many of them each item has
+    own = items.where("width > 0").groupBy("width", "template").agg(F.min("item_id").alias("item_id"), F.max("item_id").alias("other"))
+    own = own.where("item_id = other").select("width", "template", "item_id", F.lit(1).alias("own"))
+    theirs = theirs.join(own, ["width", "template", "item_id"], "left")
+    n_own = theirs.groupBy("item_id").agg(F.sum(F.coalesce("own", F.lit(0))).alias("n_own"))
+    theirs = written(theirs.join(n_own, "item_id"), "own-windows")
     pairs = lookup_join(document_windows(docs, np.packbits(bitmap).tobytes(), widths), theirs, ["hash", "width", "template"])
     # copies of one row are told apart by nothing, so a match counts once for all of them
     pairs = pairs.withColumn("offset", F.col("place") - F.col("item_place"))
     slots = F.transform(F.arrays_zip("item_slots", "slots"), lambda s: F.struct(s["item_slots"].alias("a"), s["slots"].alias("b")))
-    whole = pairs.groupBy("doc_id", "copy", "item_id", "windows", "exact", "offset").agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots")
+    whole = pairs.groupBy("doc_id", "copy", "item_id", "windows", "exact", "n_own", "offset").agg(
+        F.collect_set("item_place").alias("places"),
+        F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
+        F.max(F.coalesce("own", F.lit(0))).alias("own"),
     )
+    all_places = F.when(F.col("exact") == 0, F.col("windows")).otherwise(F.col("exact"))
+    same = (F.size("places") == all_places) & F.forall("slots", lambda s: s["a"] == s["b"])
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
     # an exact occurrence is the whole item, so all of its windows match
     complete = (F.col("exact") == 0) | (F.size("places") == F.col("exact"))
     places = F.when(F.col("exact") == 0, F.col("places"))
     by_item = (
         whole.where(consistent & complete)
-        .groupBy("doc_id", "copy", "item_id", "windows")
+        .groupBy("doc_id", "copy", "item_id", "windows", "n_own")
         .agg(
             F.greatest(
                 F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long"),
                 F.max(F.when(F.col("exact") > 0, F.col("windows"))),
             ).alias("n_matched"),
-            F.min(F.forall("slots", lambda s: s["a"] == s["b"])).alias("verbatim"),
+            F.max(same).alias("verbatim"),
+            F.max(F.greatest("own", F.when(F.col("exact") > 0, 1).otherwise(0))).alias("own"),
         )
     )
     enough = (100 * F.col("n_matched") >= SHARE_PERCENT * F.col("windows")) | (F.col("n_matched") >= ENOUGH)
-    return by_item.where(enough).select("doc_id", "copy", "item_id", F.col("windows").alias("n_windows"), "n_matched", "verbatim")
+    several = F.col("n_matched") >= F.least(F.lit(2), "windows")
+    special = (F.col("own") > 0) | (F.col("n_own") == 0)
+    return by_item.where(enough & several & special).select("doc_id", "copy", "item_id", F.col("windows").alias("n_windows"), "n_matched", "verbatim")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
