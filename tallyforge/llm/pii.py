@@ -8,8 +8,10 @@ coarse features are counted over the whole corpus; their combinations are bounde
 product of their values, 58,320, so the counts fit the driver at any corpus size. On them
 expectation-maximisation estimates how reliable each labeler is and how common each kind
 is, and the posteriors train the final classifier, a logistic regression on the features
-alone. A candidate becomes a span when the classifier gives it one half or more. Candidates are taken whole: a value that is too long for its
-kind is spoken against by the format labeler, never cut.
+alone. A candidate becomes a span when the classifier gives it one half or more. Candidates
+are taken whole: a value that is too long for its kind is spoken against by the format
+labeler, never cut. Of a run of digit groups longer than any card number, as of cards in a
+row, the parts that pass Luhn are proposed.
 
 Null text counts as empty. Overlapping spans of different kinds are all reported; in a
 redacted text they are one gap named after the first. Repeated rows are treated alike.
@@ -50,6 +52,9 @@ _DIGIT = re.compile("[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: Groups that cards are printed in.
+_CARD_SHAPE = re.compile(r"[0-9]+|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,4})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}")
+_DIGIT_RUN = re.compile("[0-9]+")
 _DIGITS = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _ID_NUMBER = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
@@ -58,10 +63,20 @@ _HIDDEN_DOT = re.compile(r" ?(?:\.|[\[(]dot[\])]) ?")
 _HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{_HIDDEN_DOT.pattern}[A-Za-z0-9-]+)+")
 _ASSIGNED = re.compile(r"[=:]\s{0,3}[\"']?")
 _VALUE = re.compile(r"[^\s\"',;]{6,}")
-_SECRET_NAME = re.compile(r"(?:token|password|passwd|secret|api[_-]?key)\s{0,3}$", re.IGNORECASE)
+_SECRET_NAME = re.compile(r"(?:token|password|passwd|pwd|secret|(?:api|access|private)[_-]?key)\s{0,3}$", re.IGNORECASE)
 _ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
+_BEARER = re.compile(r"\b[Bb]earer\s{1,3}([A-Za-z0-9._~+/=-]{16,})")
+_ISSUED = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}")
+_KEY_BEGIN = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_KEY_BODY = re.compile(r"(?:\s*[A-Za-z0-9+/=]{16,}+)*+")
+_KEY_END = re.compile(r"-----END [A-Z ]{0,30}PRIVATE KEY-----")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_CAPITALISED = r"[A-Z][\w'-]+(?: [A-Z][\w'-]+)*"
+_NAMED = re.compile(rf"\b[Mm]y name is ({_CAPITALISED})")
+_GIVEN_RUN = re.compile(rf"\b(?:{'|'.join(sorted(w.capitalize() for w in _GIVEN))}) {_CAPITALISED}")
 _TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][\w'-]+(?: [A-Z][\w'-]+)*)")
 _WORDS = re.compile(r"[a-z]+")
+_GIVEN_CAPITAL = tuple(w.capitalize() for w in _GIVEN)
 
 
 def luhn(digits: str) -> bool:
@@ -115,6 +130,40 @@ def assigned_secrets(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def private_keys(text: str) -> list[tuple[int, int]]:
+    """Whole key blocks; one without an end goes as far as its long runs do."""
+    found, done, ends = [], 0, [m.span() for m in _KEY_END.finditer(text)]
+    starts = [m for m in _KEY_BEGIN.finditer(text)]
+    for m, after in zip(starts, [*(n.start() for n in starts[1:]), len(text)], strict=True):
+        while done < len(ends) and ends[done][0] < m.end():
+            done += 1
+        if done < len(ends) and ends[done][0] < after:
+            found.append((m.start(), ends[done][1]))
+        else:
+            body = _KEY_BODY.match(text, m.end(), after)
+            found.append((m.start(), body.end()))
+    return found
+
+
+def numbers_within(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of a longer run of digit groups that are 13 to 19 digits from the edge of a group
+    to the edge of another and pass Luhn: the longest of each first group. A part has 19
+    groups at most, so the time is linear."""
+    groups = [m.span() for m in _DIGIT_RUN.finditer(text, start, end)]
+    found = []
+    for i in range(len(groups)):
+        digits, best = "", None
+        for a, b in groups[i : i + 19]:
+            if len(digits) + b - a > 19:
+                break
+            digits += text[a:b]
+            if len(digits) >= 13 and luhn(digits):
+                best = b
+        if best is not None:
+            found.append((groups[i][0], best))
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base rules, in order."""
     found = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
@@ -140,20 +189,36 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     found = []
     if _DIGIT.search(text):
         for m in _CARD.finditer(text):
-            if 13 <= m.end() - m.start() <= 40 and 13 <= sum(c.isdigit() for c in m[0]) <= 19:
+            if m.end() - m.start() < 13:
+                continue
+            size = sum(c.isdigit() for c in m[0])
+            if 13 <= size <= 19:
                 found.append((m.start(), 4, m.end()))
+            elif size > 19:
+                found += [(a, 4, b) for a, b in numbers_within(text, m.start(), m.end())]
         found += [(m.start(), 4, m.end()) for m in _DIGITS.finditer(text)]
         found += [(m.start(), 5, m.end()) for m in _LOCAL_PHONE.finditer(text)]
         if "-" in text:
             found += [(m.start(), 6, m.end()) for m in _ID_NUMBER.finditer(text)]
+        found += [(m.start(), 6, m.end()) for m in _IBAN.finditer(text)]
     if "[at]" in text or "(at)" in text:
         found += [(a, 7, b) for a, b in hidden_emails(text)]
     if "=" in text or ":" in text:
         found += [(a, 8, b) for a, b in assigned_secrets(text)]
+    if "earer" in text:
+        found += [(m.start(1), 8, m.end(1)) for m in _BEARER.finditer(text)]
+    if "_" in text or "-" in text:
+        found += [(m.start(), 8, m.end()) for m in _ISSUED.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [(a, 8, b) for a, b in private_keys(text)]
     if "AKIA" in text:
         found += [(m.start(), 8, m.end()) for m in _ACCESS_KEY.finditer(text)]
     if "Mr" in text or "Ms" in text or "Dr" in text or "Prof" in text:
         found += [(m.start(1), 9, m.end(1)) for m in _TITLED.finditer(text)]
+    if "y name is" in text:
+        found += [(m.start(1), 9, m.end(1)) for m in _NAMED.finditer(text)]
+    if any(w in text for w in _GIVEN_CAPITAL):
+        found += [(m.start(), 9, m.end()) for m in _GIVEN_RUN.finditer(text)]
     out, edges = [], sorted((a, b) for a, _, b in base)
     for span in sorted(set(found)):
         low = _first_after(edges, span[0])
@@ -199,9 +264,12 @@ def described(text: str, span: tuple[int, int, int]) -> tuple[int, ...]:
 
 def _format_vote(kind: int, value: str, digits: list[str]) -> int:
     if kind == 4:
-        return 1 if luhn("".join(digits)) else 2
+        return 2 if not luhn("".join(digits)) else 1 if _CARD_SHAPE.fullmatch(value) else 0
     if kind == 5:
         return 2 if digits[0] in "01" else 1
+    if kind == 6 and value[0].isalpha():
+        turned = (value[4:] + value[:4]).replace(" ", "")
+        return 1 if int("".join(str(int(c, 36)) for c in turned)) % 97 == 1 else 2
     if kind == 6:
         return 2 if "".join(digits[:3]) in ("000", "666") or digits[3:5] == ["0", "0"] else 1
     if kind == 7:
@@ -210,6 +278,8 @@ def _format_vote(kind: int, value: str, digits: list[str]) -> int:
         return 2 if len(local.rstrip()) > 64 or len(labels) > 9 or max(map(len, labels)) > 63 else 1
     if kind == 9:
         return 2 if max(map(len, value.split())) > 41 else 0 if value.count(" ") > 3 else 1
+    if kind == 8 and value.startswith("-----BEGIN"):
+        return 1
     if kind == 8:
         return 1 if digits and any(c.isalpha() for c in value) else 2
     if kind == 2:
