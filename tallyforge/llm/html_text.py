@@ -4,7 +4,11 @@ A page is parsed into a tree with the usual repairs (void and raw-text elements,
 end tags, stray and missing end tags, comments, a tag that the page's end cuts off). What a
 page itself declares to be something else is left out first: scripts, styles, forms,
 navigation, headers, footers, asides, hidden parts, and elements whose class, id or role
-names adverts, notices, side bars, sharing, or comments.
+names adverts, notices, side bars, sharing, or comments. A name in a class, and a form, may
+also stand around the whole page (``has-sidebar``, ``nav-open``): such an element is a wrapper
+and stays if all ``article`` and ``main`` elements are in it and one of them is ``main`` or it
+holds half of the page's characters, or, without any such element, if it holds half of them
+(four fifths if the name is a whole class or id).
 
 For every remaining element the density is its characters per tag, lowered by the share of
 characters and tags that are links (the body's own ratio sets how far). Formatting such as
@@ -49,12 +53,15 @@ MENU_LINKS, MENU_SHARE = 3, 0.7
 #: Elements that an implied end never reaches beyond.
 SCOPE = frozenset("html body div article section main ul ol dl table td th aside nav header footer form blockquote figure".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-NOTED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|popup|modal|overlay|cookie\w*|consent|gdpr|notice\w*|alert|"
+_NOTES = (
+    r"(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|popup|modal|overlay|cookie\w*|consent|gdpr|notice\w*|alert|"
     r"side-?bar\w*|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|pagination|pager|footer|header|masthead|toolbar|"
     r"comment|comments|commentlist|comment-?list|disqus\w*|repl(?:y|ies)|respond|share|sharing|social\w*|related\w*|recommend\w*|"
-    r"newsletter\w*|subscribe\w*|signup|login|skip-?link\w*|copyright|disclaimer)(?:$|[\s_-])"
+    r"newsletter\w*|subscribe\w*|signup|login|skip-?link\w*|copyright|disclaimer)"
 )
+NOTED, NOTED_WHOLE = re.compile(rf"(?:^|[\s_-]){_NOTES}(?:$|[\s_-])"), re.compile(_NOTES)
+#: Share of a page's characters from which a noted element is a wrapper: by part of a name, by a whole one.
+WRAPS = (None, 0.5, 0.8)
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^\"'>]|\"[^\"]*\"|'[^']*')*+(?:>|\Z)|</?[A-Za-z][^>]*(?:>|\Z)", re.DOTALL)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
@@ -64,29 +71,51 @@ _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 class Node:
     """An element: its children and texts in order, and counts over its subtree."""
 
-    __slots__ = ("name", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "noted")
 
-    def __init__(self, name: str, parent: Node | None, out: bool = False):
-        self.name, self.parent, self.items, self.out = name, parent, [], out
+    def __init__(self, name: str, parent: Node | None, out: bool = False, noted: int = 0):
+        self.name, self.parent, self.items, self.out, self.noted = name, parent, [], out, noted
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _declared(tag: str, name: str) -> bool:
-    """Whether an element says that it isn't part of the main text."""
+def _declared(tag: str, name: str) -> tuple[bool, int]:
+    """Whether an element says that it isn't part of the main text, and whether its name notes
+    it as something else: 1 by a part of a class or id, 2 by a whole one or as a form."""
     if name in LEFT_OUT:
-        return True
+        return name != "form", 2 * (name == "form")
     if name in ("html", "body", "article", "main") or "=" not in tag and "hidden" not in tag:
-        return False
+        return False, 0
+    noted = 0
     for key, *values in _ATTRIBUTE.findall(tag[len(name) + 1 :].rstrip(">")):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or key == "role" and value in ROLES or key == "aria-hidden" and value == "true":
-            return True
+            return True, 0
         if key in ("class", "id") and NOTED.search(re.sub(r"\s+", " ", value)):
-            return True
+            noted = max(noted, 1 + any(NOTED_WHOLE.fullmatch(x) for x in value.split()))
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return True, 0
+    return False, noted
+
+
+def _leave_out_noted(root: Node) -> None:
+    """Leave out noted elements, but for those that stand around the page."""
+    nodes = _ordered(root)
+    if not any(node.noted for node in nodes):
+        return
+    chars, mains, whole = {}, {}, set()
+    for node in reversed(nodes):
+        inner = [x for x in node.items if isinstance(x, Node) and not x.out]
+        chars[node] = sum(len(x.strip()) for x in node.items if isinstance(x, str)) + sum(chars[x] for x in inner)
+        mains[node] = sum(mains[x] for x in inner) + (node.name in ("article", "main") and chars[node] > 0)
+        if node.name == "main" and chars[node] or not whole.isdisjoint(inner):
+            whole.add(node)
+    for node in nodes:
+        if node.noted and mains[root]:
+            wraps = mains[node] == mains[root] and (node in whole or chars[node] >= WRAPS[1] * chars[root])
+            node.out = not wraps
+        elif node.noted:
+            node.out = chars[node] < WRAPS[node.noted] * chars[root]
 
 
 def parse(page: str) -> Node:
@@ -118,7 +147,8 @@ def parse(page: str) -> Node:
         if not tag.endswith(">"):
             break
         at = _implied_end(at, name)
-        node = Node(name, at, at.out or _declared(tag, name))
+        out, noted = _declared(tag, name)
+        node = Node(name, at, at.out or out, noted)
         at.items.append(node)
         if name in VOID:
             continue
@@ -128,6 +158,7 @@ def parse(page: str) -> Node:
             at = node
         else:
             at = node
+    _leave_out_noted(root)
     return root
 
 

@@ -266,6 +266,38 @@ class TestMainText:
         assert [r["text"] for r in got] == list(self.PAGES.values())
         assert [r["n_chars"] for r in got] == [len(t) for t in self.PAGES.values()]
 
+    BODY = "<h1>Title here</h1><p>The first long sentence of the article, as it stands.</p><p>And a second one that ends it.</p>"
+    TEXT = "Title here The first long sentence of the article, as it stands. And a second one that ends it."
+    SIDE = "<div class='sidebar'><p>Aside</p></div>"
+    NOTE = "<div id='comments'><article><p>I like this one, well said by the one who wrote it.</p></article></div>"
+    LAYOUTS = [
+        "<div class='page has-sidebar'><article>{b}</article>{s}</div>",
+        "<div class='site sticky-header'><header>Site</header><main>{b}</main></div>",
+        "<div class='wrapper comments-open'><article>{b}</article>{c}</div>",
+        "<div class='layout no-sidebar'><div class='content'>{b}</div></div>",
+        "<div class='container nav-open'><nav>Menu</nav><div>{b}</div>{s}</div>",
+        "<form action='/'><input name=state><article>{b}</article><button>Go</button></form>",
+        "<form id='aspnet'><div class='body'>{b}</div>{s}</form>",
+        "<main>{b}{c}</main>{s}",
+        "<div class='has-sidebar'><main><div class='entry'>{b}</div>{c}</main>{s}</div>",
+        "<div class='outer cookie-accepted'><div class='inner nav-closed'><article>{b}</article></div></div>",
+        "<article>{b}</article><form><p>Write to us about what you think of this page.</p></form>",
+        "<div class='sidebar-left'><div class='ad-free'><article>{b}</article></div></div>",
+        "<div class='cookie-banner'><p>We use cookies.</p></div><div>{b}</div>",
+        "<article>{b}</article><div class='related-posts'><article><p>Another article.</p></article></div>",
+        "<div>{b}</div><div class='social share'><p>Share this</p></div>",
+        "<div class='header-image page'><section>{b}</section><div class='footer'>Foot</div></div>",
+        "<div class='modal-open'><div class='modal'><p>Sign up</p></div><article>{b}</article></div>",
+        "<table class='layout banner-top'><tr><td>{b}</td></tr></table>",
+        "<article class='post comment-open'>{b}</article>{c}",
+        "<div id='page' class='menu-hidden'><div role='main'>{b}</div><div class='menu'><a>x</a></div></div>",
+    ]
+
+    @pytest.mark.parametrize("layout", LAYOUTS)
+    def test_wrappers_stay_and_notes_go(self, layout):
+        for page in (layout, f"<html><body>{layout}</body></html>", f"<body><nav>Go</nav>{layout}<footer>f</footer></body>"):
+            assert html_text.main_text(page.format(b=self.BODY, s=self.SIDE, c=self.NOTE)) == self.TEXT
+
     def test_deep_and_long(self):
         deep = "<div>" * 5000 + "word " * 50_000
         assert html_text.main_text(deep) == " ".join(["word"] * 50_000)
