@@ -1,6 +1,7 @@
 """Importing this module fills the catalog."""
 
 from tallyforge.plans import (  # noqa: F401
+    descent_queries,
     describe_queries,
     encode_queries,
     metric_queries,
