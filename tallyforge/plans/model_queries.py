@@ -17,9 +17,10 @@ from tallyforge.plans.views import Tables, with_views
 # ------------------------------------------------------------- gradient descent
 
 
-def _gd_rows(t: Tables) -> DataFrame:
+def _gd_rows(t: Tables, *keys: str) -> DataFrame:
     """Three scaled numbers with a regression and a two-class target."""
     return t.lineitem.select(
+        *keys,
         F.array(F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10).alias("features"),
         (F.col("l_extendedprice") / 10000).alias("label"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("returned"),
@@ -163,14 +164,14 @@ def ten_class_tree(t: Tables) -> DataFrame:
 # -------------------------------------------------------------------- regression
 
 
-def _rentals(t: Tables) -> DataFrame:
+def _rentals(t: Tables, *keys: str) -> DataFrame:
     encoder = encode.MixedEncoder(CATEGORIES, NUMBERS).fit(t.rentals)
-    return encoder.vector_features(t.rentals).select(F.col("target").alias("label"), "features")
+    return encoder.vector_features(t.rentals).select(*keys, F.col("target").alias("label"), "features")
 
 
-def _tree_rows(t: Tables) -> DataFrame:
+def _tree_rows(t: Tables, *keys: str) -> DataFrame:
     raw = t.rentals.withColumns({c: F.col(c).cast("double") for c in ("line", "month")})
-    return encode.ordinal_features(raw, ["line", "month", *NUMBERS]).select(F.col("target").alias("label"), "features")
+    return encode.ordinal_features(raw, ["line", "month", *NUMBERS]).select(*keys, F.col("target").alias("label"), "features")
 
 
 @query("ML-7 ML-9 FE-9 EV-4 EV-5 EV-6")

@@ -1,7 +1,8 @@
 """Parameter sweeps over every grid of ``tuning``, on held-out parts.
 
-Classifiers are swept over the labelled documents (60 % training, 40 % test by a hash of
-the id), regressors over the rental rows, ten-class models over the embeddings.
+Classifiers are swept over the labelled documents, ten-class models over the embeddings,
+regressors over the rental rows and order lines: 60 % training, 40 % test by a hash of the id
+(all lines of an order are on one side).
 """
 
 from __future__ import annotations
@@ -74,9 +75,9 @@ def _hits(model: linear.LinearModel, df: DataFrame) -> float:
 
 @query("TUN-1 TUN-2 ML-1")
 def sweep_classifier_steps(t: Tables) -> DataFrame:
-    rows = written(_gd_rows(t).select("features", F.col("returned").alias("label")), "steps")
+    rows = _gd_rows(t, "l_orderkey").select("l_orderkey", "features", F.col("returned").alias("label"))
     return tuning.sweep(
-        rows, rows, tuning.GRIDS["step_classifier"],
+        *_parts(rows, ["l_orderkey"]), tuning.GRIDS["step_classifier"],
         lambda d, step: linear.gradient_descent(d, loss="logistic", iterations=10, step=step, intercept=True), _hits,
     )
 
@@ -88,9 +89,9 @@ def _line_rmsle(model: linear.LinearModel, df: DataFrame) -> float:
 
 @query("TUN-1 TUN-2 ML-7")
 def sweep_regression_steps(t: Tables) -> DataFrame:
-    rows = written(_gd_rows(t).select("features", "label"), "steps")
+    rows = _gd_rows(t, "l_orderkey").select("l_orderkey", "features", "label")
     return tuning.sweep(
-        rows, rows, tuning.GRIDS["step_regression"],
+        *_parts(rows, ["l_orderkey"]), tuning.GRIDS["step_regression"],
         lambda d, step: linear.gradient_descent(d, iterations=10, step=step, intercept=True), _line_rmsle,
     )
 
@@ -102,9 +103,8 @@ def _linear_rmsle(model, df: DataFrame) -> float:
 
 @query("TUN-1 TUN-2 ML-7 ML-8")
 def sweep_regressions(t: Tables) -> DataFrame:
-    rows = written(_rentals(t), "rentals")
     return _tables(
-        rows, rows,
+        *_parts(_rentals(t, "order_id"), ["order_id"]),
         [
             ("iterations", "iterations_regression", lambda d, p: models.fit_linear(d, iterations=p)),
             ("l2", "l2_regression", lambda d, p: models.fit_linear(d, p, "l2", 10)),
@@ -117,8 +117,8 @@ def sweep_regressions(t: Tables) -> DataFrame:
 
 @query("TUN-1 TUN-2 ML-6")
 def sweep_regression_depth(t: Tables) -> DataFrame:
-    rows = written(_tree_rows(t), "trees")
-    return tuning.sweep(rows, rows, tuning.GRIDS["depth_regression"], lambda d, p: models.fit_tree_regressor(d, p, 32), _rmsle)
+    train, test = _parts(_tree_rows(t, "order_id"), ["order_id"])
+    return tuning.sweep(train, test, tuning.GRIDS["depth_regression"], lambda d, p: models.fit_tree_regressor(d, p, 32), _rmsle)
 
 
 @query("TUN-1 TUN-2 ML-2 ML-5")
