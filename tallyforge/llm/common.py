@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import weakref
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -37,12 +38,21 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 yield work(batch.slice(start, ROWS))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(each, schema)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers live on between tasks and would
+    keep the most that any of them has needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 class Remembered(dict):
     """Results by argument, in two generations of at most ``size``: what is used again while
     the younger one fills stays. Python workers live on and serve one operator after another,
