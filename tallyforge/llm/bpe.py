@@ -50,7 +50,7 @@ def byte_alphabet() -> list[str]:
 class Encoder:
     """Encoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
@@ -62,9 +62,9 @@ class Encoder:
         self.of_byte = [vocab[c] for c in alphabet]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known = Remembered(self.word, REMEMBERED)
-        self.first = Remembered(self.stretch, REMEMBERED // 32)
-        self.later = Remembered(lambda piece: self.stretch(" " + piece), REMEMBERED)
+        self.known = Remembered(self.word, remembered)
+        self.first = Remembered(self.stretch, remembered // 32)
+        self.later = Remembered(lambda piece: self.stretch(" " + piece), remembered)
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one word. A queue entry is a rank and the place of its left symbol; it is
@@ -143,9 +143,9 @@ class Decoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One per Python worker; what it remembers serves later tasks."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 @lru_cache(maxsize=1)
@@ -153,11 +153,12 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
-def encode(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """``keys``, ``ids`` (binary) and ``n_tokens`` of each row's ``text``."""
+def encode(docs: DataFrame, path: str, keys: list[str], remembered: int = REMEMBERED) -> DataFrame:
+    """``keys``, ``ids`` (binary) and ``n_tokens`` of each row's ``text``. ``remembered`` words and
+    pieces in a generation trade a worker's memory for time; the ids are the same."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        use = encoder(path)
+        use = encoder(path, remembered)
         ids = [use.encode(t or "") for t in batch.column(len(keys)).to_pylist()]
         made = {"ids": pa.array(ids, pa.binary()), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64())}
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made.values()], [*keys, *made])
