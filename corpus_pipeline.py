@@ -16,6 +16,9 @@ from tallyforge.llm.common import table
 from tallyforge.llm.queries import vocabulary
 from tallyforge.session import written
 
+#: Words that the last stage remembers: a worker of the pipeline has served four stages before.
+REMEMBERED = bpe.REMEMBERED // 4
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -43,7 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source``, the ids of each text as little-endian unsigned 32-bit
     integers, their number and digest, and the digest of the text they decode to."""
     path = vocabulary("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(docs, path, ["doc_id", "lang", "source"]), path)
+    both = bpe.decode(bpe.encode(docs, path, ["doc_id", "lang", "source"], REMEMBERED), path)
     digests = F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
     return both.select("doc_id", "lang", "source", "ids", "n_tokens", *digests)
 
