@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +38,44 @@ def test_median(spark, values):
     assert ordering.exact_median(df, "x").first()[0] == np.median(values)
 
 
+def _median_by_sorting(values):
+    ordered = sorted(v for v in values if v is not None)
+    n = len(ordered)
+    return (ordered[(n - 1) // 2] + ordered[n // 2]) / 2 if n else None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_median_narrows_any_range(spark, monkeypatch, seed):
+    monkeypatch.setattr(ordering, "BUCKETS", 4)
+    monkeypatch.setattr(ordering, "FEW", 3)
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(40, 80))
+    cases = [
+        ("double", [float(x) for x in rng.normal(size=n) * 10.0 ** rng.integers(-8, 9, n)]),
+        ("double", [float(x) for x in rng.choice([-1.7e308, 1.7e308, 0.5], n)]),
+        ("long", [int(x) for x in rng.integers(-50, 50, n)]),
+        ("long", [2**61 + int(x) for x in rng.integers(0, 9, n)]),
+        ("decimal(20,2)", [Decimal(int(x)) / 100 for x in rng.integers(-999, 999, n)]),
+    ]
+    for kind, values in cases:
+        df = spark.createDataFrame([(v,) for v in [*values, None]], f"x {kind}")
+        expected = _median_by_sorting(values)
+        assert float(ordering.exact_median(df, "x").first()[0]) == pytest.approx(float(expected), rel=1e-15), kind
+
+
+def test_median_of_odd_columns(spark):
+    inf, nan = float("inf"), float("nan")
+
+    def median(values):
+        return ordering.exact_median(spark.createDataFrame([(v,) for v in values], "x double"), "x").first()[0]
+
+    assert median([]) is None and median([None, None]) is None
+    assert median([-inf, -inf, 1.0]) == -inf and median([inf, 2.0, inf]) == inf and np.isnan(median([nan, 1.0, nan]))
+    assert median([-inf, 3.0, nan]) == 3.0 and median([-inf, 1.0, 2.0, inf]) == 1.5
+    assert median([5e-324, 0.0, 5e-324]) == 5e-324
+    assert median([7.0] * 20_001 + [8.0] * 20_001) == 7.5
+
+
 def test_index_of_equal_rows(spark):
     df = spark.range(1000).select(F.lit("same").alias("x"))
     got = [r.idx for r in ordering.global_index(df, ["x"]).collect()]
