@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators.decompose import fold_products, map_rows, whitener
 from tallyforge.operators.joins import lookup_join
+from tallyforge.operators.ordering import global_index
 from tallyforge.session import ensure_checkpoint, written
 
 # Rank, rounds and regularisation used by default.
@@ -29,8 +30,7 @@ def fit(
     ``blocks`` of users and of items are the tasks of a round and the sides of the blocked
     product that recommends; by default as many as the cluster has cores, and ten at least.
 
-    Ids must fit an int (Spark checks it); map larger ones through a dictionary
-    first. Factors are checkpointed every few rounds by Spark itself.
+    Ids must fit an int (Spark checks it); ``NamedFactors`` takes any others. Factors are checkpointed every few rounds by Spark itself.
     """
     ensure_checkpoint(ratings.sparkSession)
     blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
@@ -77,6 +77,102 @@ def recommend_to(model: ALSModel, users: DataFrame, k: int, titles: DataFrame |
     return lookup_join(ranked, titles, "item_id", "left") if titles is not None else ranked
 
 
+def optimality(
+    ratings: DataFrame, model: ALSModel, reg: float = REGULARISATION, implicit_alpha: float | None = None
+) -> DataFrame:
+    """``(user_id, n, residual)``: how far each user is from the optimum given the items.
+
+    The last half-step of a fit solves the users' ridge equations, so the gradient of every
+    user's own loss is zero but for the rounding of factors to single precision. ``residual`` is
+    its largest entry, relative to the sizes of the terms that cancel. As the user's factors are
+    known, a rating adds a multiple of the item's factors and no outer product. ``n`` counts
+    the ratings that the penalty is weighted by.
+    """
+    k = model.rank
+    items = item_factors(model).select(F.col("id").alias("item_id"), F.col("features").alias("v"))
+    users = user_factors(model).select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    rows = lookup_join(lookup_join(ratings.select("user_id", "item_id", "rating"), items, "item_id"), users, "user_id")
+    dot = sum((F.col("u")[i] * F.col("v")[i] for i in range(1, k)), F.col("u")[0] * F.col("v")[0])
+    if implicit_alpha is None:
+        weight, target, counted = F.lit(1.0), F.col("rating").cast("double"), F.lit(1)
+    else:
+        weight = F.abs(F.col("rating").cast("double")) * implicit_alpha
+        target = F.when(F.col("rating") > 0, 1 + weight).otherwise(0.0)
+        counted = F.when(F.col("rating") > 0, 1).otherwise(0)
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    terms = rows.select("user_id", "u", "v", dot.alias("dot"), weight.alias("weight"), target.alias("target"), counted.alias("counted"), length.alias("length"))
+    terms = terms.withColumns({"off": F.col("weight") * F.col("dot") - F.col("target"), "size": (F.abs(F.col("weight") * F.col("dot")) + F.abs("target")) * F.col("length")})
+    summed = terms.groupBy("user_id").agg(
+        F.any_value("u").alias("u"), F.sum("counted").alias("n"), F.sum("size").alias("size"),
+        F.array(*[F.sum(F.col("off") * F.col("v")[i]) for i in range(k)]).alias("g"),
+    )
+    if implicit_alpha is not None:  # every item pulls towards zero
+        gram = fold_products(items, "v", "v")
+        summed = map_rows(summed, ["u"], "all", lambda u: u @ gram)
+        summed = summed.withColumns({
+            "g": F.zip_with("g", "all", lambda a, b: a + b),
+            "size": F.col("size") + F.sqrt(F.aggregate("all", F.lit(0.0), lambda a, x: a + x * x)),
+        })
+    share = F.col("n") * F.lit(reg)
+    gradient = F.zip_with("g", "u", lambda a, b: F.abs(a + share * b))
+    size = F.col("size") + share * F.sqrt(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x))
+    residual = F.when(size > 0, F.array_max(gradient) / size).otherwise(0.0)
+    return summed.select("user_id", "n", residual.alias("residual"))
+
+
+def id_dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``(column, code)``: dense numbers from 0 for the ids of any type, in their order. Null is
+    no id. Written once, so that every use sees the same codes."""
+    ids = df.select(column).where(F.col(column).isNotNull()).distinct()
+    codes = written(global_index(ids, [column], "code"), f"codes-{column}")
+    most = codes.agg(F.max("code")).first()[0]
+    if most is not None and most > 2**31 - 1:
+        raise ValueError(f"{column}: {most + 1} ids are more than a factorisation can number")
+    return codes.withColumn("code", F.col("code").cast("int"))
+
+
+class NamedFactors:
+    """A factorisation of ratings whose ids are strings, long integers or anything that can be
+    sorted. Ids are numbered around the fit and come back in all results; ratings with a null id
+    take no part, and pairs with an unknown id have no prediction."""
+
+    def __init__(self, ratings: DataFrame, **options):
+        self.users, self.items = id_dictionary(ratings, "user_id"), id_dictionary(ratings, "item_id")
+        self.options = options
+        self.rows = written(self._coded(ratings.select("user_id", "item_id", "rating")), "coded-ratings")
+        self.model = fit(self.rows, **options)
+
+    def _coded(self, rows: DataFrame) -> DataFrame:
+        for column, codes in (("user_id", self.users), ("item_id", self.items)):
+            rows = lookup_join(rows, codes, column).drop(column).withColumnRenamed("code", column)
+        return rows
+
+    def _named(self, rows: DataFrame, *columns: str) -> DataFrame:
+        names = rows.columns
+        for column in columns:
+            codes = self.users if column == "user_id" else self.items
+            back = codes.select(F.col("code").alias(column), F.col(column).alias("__id"))
+            rows = lookup_join(rows, back, column).drop(column).withColumnRenamed("__id", column)
+        return rows.select(*names)
+
+    def user_factors(self) -> DataFrame:
+        return self._named(user_factors(self.model).withColumnRenamed("id", "user_id"), "user_id")
+
+    def item_factors(self) -> DataFrame:
+        return self._named(item_factors(self.model).withColumnRenamed("id", "item_id"), "item_id")
+
+    def predict(self, pairs: DataFrame) -> DataFrame:
+        return self._named(predict(self.model, self._coded(pairs.select("user_id", "item_id"))), "user_id", "item_id")
+
+    def recommend_to_all(self, k: int) -> DataFrame:
+        """As the function of that name; equal scores go by the ids' order, which codes keep."""
+        return self._named(recommend_to_all(self.model, k), "user_id", "item_id")
+
+    def optimality(self) -> DataFrame:
+        given = {n: self.options[n] for n in ("reg", "implicit_alpha") if n in self.options}
+        return self._named(optimality(self.rows, self.model, **given), "user_id")
+
+
 def latent_items(
     ratings: DataFrame, dims: int = 4, spare: int = 12, rounds: int = 30, tolerance: float = 1e-8, seed: int = 42
 ) -> DataFrame:

@@ -204,3 +204,52 @@ def test_factor_model(spark):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, every.where("user_id = 3").collect()))
     again = factors.recommend_to_all(factors.fit(df, rank=3, rounds=10, reg=0.01), 5)
     assert sorted(r.item_id for r in again.collect()) == sorted(r.item_id for r in every.collect())
+
+
+def _raw_ratings(spark):
+    rng = np.random.default_rng(5)
+    u, v = rng.random((25, 3)) + 0.5, rng.random((18, 3)) + 0.5
+    return spark.createDataFrame([(i, j, float(u[i] @ v[j])) for i in range(25) for j in range(18) if (i * j) % 3], SCHEMA)
+
+
+@pytest.mark.parametrize("alpha", [None, 3.0])
+def test_users_solve_their_equations(spark, alpha):
+    df = _raw_ratings(spark)
+    model = factors.fit(df, rank=3, rounds=3, reg=0.05, implicit_alpha=alpha)
+    found = {r.user_id: r for r in factors.optimality(df, model, 0.05, alpha).collect()}
+    assert max(r.residual for r in found.values()) < 1e-6
+    u = {r.id: np.array(r.features) for r in factors.user_factors(model).collect()}
+    v = {r.id: np.array(r.features) for r in factors.item_factors(model).collect()}
+    assert found.keys() == u.keys()
+    everything = sum(np.outer(x, x) for x in v.values())
+    for user in (1, 7):  # the solution of the plain equations is what the fit found
+        rows = [(r.item_id, r.rating) for r in df.where(f"user_id = {user}").collect()]
+        weight = [1.0 if alpha is None else alpha * r for _, r in rows]
+        target = [r if alpha is None else 1 + alpha * r for _, r in rows]
+        left = sum(w * np.outer(v[i], v[i]) for (i, _), w in zip(rows, weight)) + 0.05 * len(rows) * np.eye(3)
+        left = left if alpha is None else left + everything
+        right = sum(t * v[i] for (i, _), t in zip(rows, target))
+        np.testing.assert_allclose(np.linalg.solve(left, right), u[user], rtol=1e-3, atol=1e-4)
+        assert found[user].n == len(rows)
+    wrong = factors.optimality(df, model, 0.5, alpha).agg(F.min("residual")).first()[0]
+    moved = factors.optimality(df.withColumn("rating", F.col("rating") + 0.1), model, 0.05, alpha).agg(F.min("residual")).first()[0]
+    assert wrong > 1e-4 and moved > 1e-4
+
+
+def test_factors_of_any_ids(spark):
+    df = _raw_ratings(spark)
+    named = df.select(F.format_string("u%03d", "user_id").alias("user_id"), (F.col("item_id") + 10**12).alias("item_id"), "rating")
+    extra = spark.createDataFrame([(None, 10**12, 1.0), ("u001", None, 1.0)], "user_id string, item_id long, rating double")
+    ours = factors.NamedFactors(named.unionByName(extra), rank=3, rounds=3, reg=0.05)
+    codes = {r.user_id: r.code for r in ours.users.collect()}
+    assert sorted(codes, key=codes.get) == sorted(codes) and sorted(codes.values()) == list(range(len(codes)))
+    assert {r.user_id for r in ours.user_factors().collect()} == codes.keys()
+    assert {r.item_id for r in ours.item_factors().collect()} == {r.item_id for r in named.select("item_id").distinct().collect()}
+    assert ours.optimality().agg(F.max("residual")).first()[0] < 1e-6
+    best = ours.recommend_to_all(2)
+    assert best.count() == 2 * len(codes) and best.columns == ["user_id", "rank", "item_id", "score"]
+    pairs = spark.createDataFrame([("u001", 10**12 + 1), ("nobody", 10**12 + 1)], "user_id string, item_id long")
+    one = ours.predict(pairs).collect()
+    u = {r.user_id: np.array(r.features) for r in ours.user_factors().collect()}
+    v = {r.item_id: np.array(r.features) for r in ours.item_factors().collect()}
+    assert len(one) == 1 and one[0].prediction == pytest.approx(u["u001"] @ v[10**12 + 1], abs=1e-5)
