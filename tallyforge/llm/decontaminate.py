@@ -61,6 +61,7 @@ NAMES = "alice bob carol david emma frank grace henry isabel jack james jane joh
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:]\d+)*|[.!?\n%$€£°]")
 _WORD, _NUMBER, _NAME, _UNIT, _STOP = range(5)
 _CAPITAL, _UNIT_WORD, _LISTED = 8, 16, 32
+_FLAGS = 63
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,8 +83,8 @@ def _code(token: str) -> int:
 _codes = Remembered(_code, 100_000)
 
 
-def _kind(token: str) -> tuple[int, int]:
-    """Kind and code of a token."""
+def _kind(token: str) -> int:
+    """Kind of a token and, above its ``_FLAGS``, the code of a word."""
     import xxhash
 
     low = token.lower()
@@ -96,7 +97,7 @@ def _kind(token: str) -> tuple[int, int]:
     else:
         kind = _WORD | _CAPITAL * (token[0].isupper() and token[1:].islower())
         kind |= _UNIT_WORD * (low in _UNIT_WORDS) | _LISTED * (low in _NAME_WORDS)
-    return kind, xxhash.xxh64_intdigest(low.encode(), 7) if kind & 7 == _WORD else 0
+    return kind | (xxhash.xxh64_intdigest(low.encode(), 7) & ~_FLAGS if kind & 7 == _WORD else 0)
 
 
 _UNIT_WORDS, _NAME_WORDS, _SIGNS = frozenset(UNITS.split()), frozenset(NAMES.split()), frozenset(SIGNS.split())
@@ -156,9 +157,8 @@ class Templates:
             self.strings += tokens(text)
             sizes.append(len(self.strings) - before)
         n = len(self.strings)
-        both = list(map(_kinds.__getitem__, self.strings))
-        flags = np.fromiter((k for k, _ in both), np.int64, n)
-        codes = np.fromiter((c for _, c in both), np.uint64, n)
+        packed = np.fromiter(map(_kinds.__getitem__, self.strings), np.uint64, n)
+        flags, codes = (packed & np.uint64(_FLAGS)).astype(np.int64), packed & ~np.uint64(_FLAGS)
         row = np.repeat(np.arange(len(texts)), sizes)
         kind = flags & 7
         behind = np.concatenate([[_STOP], kind[:-1]]) if n else kind
