@@ -579,7 +579,7 @@ def line_index_per_order(t: Tables) -> DataFrame:
        SELECT day, CAST(sum(cents) OVER (ORDER BY day) AS BIGINT) AS running FROM d""",
 )
 def running_daily_spend(t: Tables) -> DataFrame:
-    day = F.floor(dates.epoch_seconds(F.col("o_orderdate")) / 86400)
+    day = dates.day_number(F.col("o_orderdate"))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     daily = t.orders.groupBy(day.alias("day")).agg(F.sum(cents).alias("cents"))
     return ordering.running_sum(daily, ["day"], {"running": "cents"}).select("day", "running")

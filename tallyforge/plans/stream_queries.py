@@ -319,7 +319,7 @@ def single_file_read_back(t: Tables) -> DataFrame:
        max(event_id) + 1 AS until_offset FROM events GROUP BY 1""",
 )
 def daily_offset_ranges(t: Tables) -> DataFrame:
-    day = F.floor(dates.epoch_seconds(F.col("ts")) / 86400)
+    day = dates.day_number(F.col("ts"))
     return t.events.groupBy(day.alias("day")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("event_id").alias("from_offset"),

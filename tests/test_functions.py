@@ -1,3 +1,6 @@
+import datetime as dt
+
+import duckdb
 from pyspark.sql import functions as F
 
 from tallyforge.functions import arrays, dates, text
@@ -42,6 +45,16 @@ def test_hours(spark):
         assert _one(spark, hour, dates.part_of_day, "int") == part
 
 
+def test_days_of_the_nearest_second(spark):
+    con = duckdb.connect()
+    times = ["2024-01-01 23:59:59.4", "2024-01-01 23:59:59.5", "2024-01-01 23:59:58.5", "2024-01-01 23:59:59.6", "1969-12-31 23:59:59.5", "1969-12-30 01:00:00"]
+    for time in times:
+        value = dt.datetime.fromisoformat(time)
+        day = con.execute("SELECT CAST(epoch(?::TIMESTAMP) AS BIGINT) // 86400", [time]).fetchall()[0][0]
+        assert _one(spark, value, dates.day_number, "timestamp_ntz") == day
+    assert _one(spark, None, dates.day_number, "timestamp_ntz") is None
+
+
 def test_arrays(spark):
     row = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, b array<double>")
     a, b = F.col("a"), F.col("b")
