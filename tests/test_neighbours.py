@@ -75,6 +75,31 @@ def test_heavy_and_light_agree_on_random_data(spark):
     np.testing.assert_allclose(a, b)
 
 
+@pytest.mark.parametrize("cell_pairs", [1, 40, 10**6])
+def test_pairs_of_cells_equal_joined_rows(spark, cell_pairs, monkeypatch):
+    """Whatever the cells are: cut by user, one for each few items, one for all."""
+    monkeypatch.setattr(neighbours, "PAIRS_AT_ONCE", 30)
+    monkeypatch.setattr(neighbours, "LISTS_AT_ONCE", 7)
+    rng = np.random.default_rng(4)
+    rows = [(u, 7 * i - 90, int(rng.integers(1, 6))) for u in range(-20, 40) for i in range(30) if rng.random() < (0.9 if i == 3 else 0.2)]
+    t = _table(spark, rows)
+    extra = spark.createDataFrame([(None, 1, 2.0), (3, None, 2.0), (99, 1, 5.0)], SCHEMA)
+    a, b = (t.select("user_id", F.col("item_id").alias(f"item_{x}"), F.col("rating").alias(x)) for x in "ab")
+    want = a.join(b, "user_id").where("item_a < item_b").groupBy("item_a", "item_b").agg(
+        F.count("*").cast("double"), F.sum("a"), F.sum("b"), F.sum(F.expr("a * b")), F.sum(F.expr("a * a")), F.sum(F.expr("b * b"))
+    )
+    got = neighbours.co_rating_sums(t.unionByName(extra), cell_pairs=cell_pairs)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert neighbours.co_rating_sums(t.where("user_id > 100")).collect() == []
+
+
+def test_pairs_are_not_shuffled(spark):
+    """Without hot users and items, users' lists move and pairs don't: each comes out of one cell."""
+    r = _table(spark, [(u, i, 1 + (u + i) % 5) for u in range(50) for i in range(u % 7, 40, 3)])
+    plan = neighbours.co_rating_sums(r, cell_pairs=1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(cell" in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("kind", KINDS)
 def test_recommendations_equal_brute_force(spark, kind):
     plain, column = KINDS[kind]
