@@ -181,6 +181,31 @@ def test_cells_are_bounded_while_items_grow(spark, monkeypatch):
         assert {(r.source, r.ub) for r in rows} == raters
 
 
+def test_ids_that_lie_together_share_cells(spark, monkeypatch):
+    """Ten groups of users and items that have nothing in common: with ids in ranges each strip meets one or two
+    cells a side and sums are whole; ids that leave gaps are hashed and give the same scores."""
+    monkeypatch.setattr(blocks, "USER_BLOCK", 10)
+    monkeypatch.setattr(blocks, "TARGET_BLOCK", 8)
+    rng = np.random.default_rng(6)
+    rows = [(10 * g + u, 8 * g + i, int(rng.integers(1, 6))) for g in range(10) for u in range(10) for i in range(8) if rng.random() < 0.5]
+    rows += [(10 * g, 8 * g, 1) for g in range(10)] + [(10 * g + 9, 8 * g + 7, 1) for g in range(10)]
+    t = neighbours._typed(_table(spark, [(u, i, v) for (u, i), v in {(u, i): v for u, i, v in rows}.items()]))
+
+    def scores(ratings):
+        sims = neighbours.similarities(neighbours.co_rating_sums(ratings))
+        seen = []
+        cells = blocks.cells
+        monkeypatch.setattr(blocks, "cells", lambda *a: seen.append(cells(*a)) or seen[-1])
+        got = {r[:2]: r[2] for r in map(tuple, neighbours.estimates(ratings, sims, 6).collect())}
+        monkeypatch.setattr(blocks, "cells", cells)
+        return got, seen[0].select("ub", "tb", "sb").distinct().count()
+
+    near, few = scores(t)
+    apart, many = scores(t.select(F.expr("user_id + (user_id DIV 60) * 1000000").alias("user_id"), F.expr("-item_id * item_id * item_id").alias("item_id"), "rating"))
+    assert few <= 2 * 10 and many > 2 * few
+    assert {(u + u // 60 * 10**6, -(i**3)): s for (u, i), s in near.items()} == apart
+
+
 def test_latent_space_and_profiles(spark):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(30, 5)) @ (rng.normal(size=(5, 12)) * np.array([[6], [4], [3], [2], [0.5]])) + 5
