@@ -256,6 +256,27 @@ def test_factor_model(spark):
     assert sorted(r.item_id for r in again.collect()) == sorted(r.item_id for r in every.collect())
 
 
+def test_blocks_of_a_fit_are_ranges_of_ids(spark, monkeypatch):
+    """Codes turn back into ids, and ids that lie together share Spark's block, the code's remainder."""
+    ids = [*range(-50, 950), 940]
+    assert factors.Codes.of(spark.createDataFrame([(i,) for i in ids], "user_id long"), "user_id", 10).span is None
+    monkeypatch.setattr(factors, "RANGED", 1)
+    df = spark.createDataFrame([(i,) for i in ids], "user_id long")
+    codes = factors.Codes.of(df, "user_id", 10)
+    coded = [tuple(r) for r in df.select("user_id", codes.code(F.col("user_id")), codes.id(codes.code(F.col("user_id")))).collect()]
+    assert codes.span == (-50, 949) and all(i == back for i, _, back in coded) and len({c for _, c, _ in coded}) == 1000
+    assert all(c % 10 == (i + 50) // 100 for i, c, _ in coded)
+    assert df.limit(1).select(codes.code(F.lit(950)), codes.code(F.lit(-51))).first() == (None, None)
+    uneven = factors.Codes.of(df.unionByName(df.limit(1).select(F.lit(10**6).alias("user_id"))), "user_id", 10)
+    assert uneven.span is None
+    t = _table(spark, [(u, i, 1 + (u * i) % 5) for u in range(40) for i in range(30) if (u + i) % 3])
+    model = factors.fit(t, rank=2, rounds=2)
+    assert model.users.span == (0, 39) and model.items.span == (0, 29)
+    asked = spark.createDataFrame([(1, 1), (1, 30), (40, 1), (50, 50)], "user_id int, item_id int")
+    assert [r[:2] for r in factors.predict(model, asked).collect()] == [(1, 1)]
+    assert factors.optimality(t, model).agg(F.max("residual")).first()[0] < 1e-6
+
+
 def _raw_ratings(spark):
     rng = np.random.default_rng(5)
     u, v = rng.random((25, 3)) + 0.5, rng.random((18, 3)) + 0.5
