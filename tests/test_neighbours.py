@@ -277,6 +277,26 @@ def test_blocks_of_a_fit_are_ranges_of_ids(spark, monkeypatch):
     assert factors.optimality(t, model).agg(F.max("residual")).first()[0] < 1e-6
 
 
+@pytest.mark.parametrize("users", [3, 16_384])
+def test_factors_are_sent_once_a_block(spark, monkeypatch, users):
+    """Blocks of any size find each rating's factors; a wrong score and unknown ids are seen as such. What
+    is joined with factors are items of blocks, never ratings."""
+    monkeypatch.setattr(factors, "USERS", users)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        t = _table(spark, [(u, i, 1 + (u * i) % 5) for u in range(20) for i in range(15) if (u + i) % 3])
+        model = factors.fit(t, rank=3, rounds=2)
+        extra = spark.createDataFrame([(1, 99, 1.0), (99, 1, 1.0), (None, 1, 1.0)], "user_id int, item_id int, prediction double")
+        scored = factors.predict(model, t).withColumn("prediction", F.when(F.expr("user_id = 4 AND item_id = 3"), 99.0).otherwise(F.col("prediction")))
+        rows = factors.agreement(scored.unionByName(extra), "prediction", model)
+        got = {(r.user_id, r.item_id): r.same for r in rows.collect()}
+        assert got == {(r.user_id, r.item_id): (r.user_id, r.item_id) != (4, 3) for r in t.collect()}
+        plan = factors.in_blocks(t, "rating", model, 0, None, None, "a long")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Join [") == 1 and "Exchange hashpartitioning(user_id" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def _raw_ratings(spark):
     rng = np.random.default_rng(5)
     u, v = rng.random((25, 3)) + 0.5, rng.random((18, 3)) + 0.5
