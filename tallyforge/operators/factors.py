@@ -17,6 +17,7 @@ from tallyforge.operators.blocks import even_span, ranged
 from tallyforge.operators.decompose import fold_products, map_rows, whitener
 from tallyforge.operators.joins import lookup_join
 from tallyforge.operators.ordering import global_index
+from tallyforge.operators.similar import best_products
 from tallyforge.session import ensure_checkpoint, ship_package, written
 
 # Rank, rounds and regularisation used by default.
@@ -99,8 +100,8 @@ def fit(
 ) -> Model:
     """Alternating least squares; ``implicit_alpha`` turns ratings into confidences.
 
-    ``blocks`` of users and of items are the tasks of a round and the sides of the blocked
-    product that recommends; by default as many as the cluster has cores, and ten at least.
+    ``blocks`` of users and of items are the tasks of a round; by default as many as the
+    cluster has cores, and ten at least.
 
     Ids must fit an int (Spark checks it); ``NamedFactors`` takes any others. Factors are checkpointed every few rounds by Spark itself.
     """
@@ -132,23 +133,23 @@ def predict(model: Model, pairs: DataFrame) -> DataFrame:
     return model.als.transform(coded).select("user_id", "item_id", F.col("prediction").cast("double").alias("prediction"))
 
 
-def _ranked(model: Model, recommendations: DataFrame) -> DataFrame:
-    rows = recommendations.select(model.users.id(F.col("user_code")).alias("user_id"), F.posexplode("recommendations").alias("at", "r"))
-    return rows.select(
-        "user_id", (F.col("at") + 1).cast("long").alias("rank"),
-        model.items.id(F.col("r.item_code")).alias("item_id"), F.col("r.rating").cast("double").alias("score"),
-    )
+def _best(model: Model, users: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best items of the given rows of user factors, by score and then by id."""
+    found = best_products(users, model.als.itemFactors.select(model.items.id(F.col("id")).alias("id"), "features"), k)
+    return found.select(F.col("id").cast("int").alias("user_id"), "rank", F.col("other").cast("int").alias("item_id"), "score")
 
 
 def recommend_to_all(model: Model, k: int) -> DataFrame:
     """The ``k`` best items of every user: blocked products with a bounded heap per user."""
-    return _ranked(model, model.als.recommendForAllUsers(k))
+    return _best(model, model.als.userFactors.select(model.users.id(F.col("id")).alias("id"), "features"), k)
 
 
 def recommend_to(model: Model, users: DataFrame, k: int, titles: DataFrame | None = None) -> DataFrame:
     """The ``k`` best items of the given users, with titles when a title table is given; an
     item without a title has a null one."""
-    ranked = _ranked(model, model.als.recommendForUserSubset(model.coded(users.select("user_id"), "user").select("user_code"), k))
+    asked = model.coded(users.select("user_id").distinct(), "user").select(F.col("user_code").alias("id"))
+    known = model.als.userFactors.join(asked, "id", "left_semi")
+    ranked = _best(model, known.select(model.users.id(F.col("id")).alias("id"), "features"), k)
     return lookup_join(ranked, titles, "item_id", "left") if titles is not None else ranked
 
 

@@ -344,3 +344,15 @@ def test_factors_of_any_ids(spark):
     u = {r.user_id: np.array(r.features) for r in ours.user_factors().collect()}
     v = {r.item_id: np.array(r.features) for r in ours.item_factors().collect()}
     assert len(one) == 1 and one[0].prediction == pytest.approx(u["u001"] @ v[10**12 + 1], abs=1e-5)
+
+
+def test_recommendations_make_no_cross_join(spark):
+    """Every user's items come out of a cell that is final, equal scores by the smaller item."""
+    t = _table(spark, [(u, i, 1 + (u * (i // 2)) % 5) for u in range(12) for i in range(10) if (u + i // 2) % 3])
+    model = factors.fit(t, rank=2, rounds=3)
+    every = factors.recommend_to_all(model, 4)
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    u, v = ({r.id: np.array(r.features) for r in f(model).collect()} for f in (factors.user_factors, factors.item_factors))
+    want = {(i, place): j for i, a in u.items() for place, (_, j) in enumerate(sorted((-float(np.einsum("i,i->", a, b)), j) for j, b in v.items())[:4], 1)}
+    assert {(r.user_id, r["rank"]): r.item_id for r in every.collect()} == want
