@@ -246,6 +246,18 @@ def in_blocks(rows: DataFrame, value: str, model: Model, width: int, each: Rows,
     return sent.repartition(blocks, "block").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
+def stated_and_predicted(ratings: DataFrame, model: Model) -> DataFrame:
+    """``(actual, predicted)`` of each rating whose user and item the model knows. Ratings meet factors
+    in blocks of users, so none is joined with a vector, nor with its prediction."""
+
+    def each(block: Block, at: np.ndarray, _: np.ndarray, v: np.ndarray, ratings: np.ndarray) -> Iterator[pa.RecordBatch]:
+        product = np.einsum("ij,ij->i", block.factors[at], v)
+        missing = np.isnan(ratings)  # a null rating comes as this
+        yield pa.RecordBatch.from_arrays([pa.array(ratings, mask=missing), pa.array(product)], ["actual", "predicted"])
+
+    return in_blocks(ratings, "rating", model, 0, each, lambda block: iter(()), "actual double, predicted double")
+
+
 def agreement(scored: DataFrame, score: str, model: Model, tolerance: float = 1e-4) -> DataFrame:
     """``(user_id, item_id, same)``: whether a given score is the product of the two factors, but for
     the tolerance relative to it."""

@@ -309,9 +309,7 @@ def implicit_recommendations(t: Tables) -> DataFrame:
 
 @query("REC-3 JN-2 EV-4")
 def factor_model_errors(t: Tables) -> DataFrame:
-    pred = factors.predict(_model(t), t.ratings)
-    both = t.ratings.join(pred, ["user_id", "item_id"])
-    return metrics.regression_errors(both.select(F.col("rating").alias("actual"), F.col("prediction").alias("predicted")))
+    return metrics.regression_errors(factors.stated_and_predicted(t.ratings, _model(t)))
 
 
 @query("REC-4")

@@ -356,3 +356,14 @@ def test_recommendations_make_no_cross_join(spark):
     u, v = ({r.id: np.array(r.features) for r in f(model).collect()} for f in (factors.user_factors, factors.item_factors))
     want = {(i, place): j for i, a in u.items() for place, (_, j) in enumerate(sorted((-float(np.einsum("i,i->", a, b)), j) for j, b in v.items())[:4], 1)}
     assert {(r.user_id, r["rank"]): r.item_id for r in every.collect()} == want
+
+
+def test_errors_need_no_join_of_ratings(spark):
+    """Ratings and predictions come out of blocks: those of the plain predictions, and no rating is joined."""
+    t = _table(spark, [(u, i, 1 + (u * i) % 5) for u in range(20) for i in range(15) if (u + i) % 3])
+    model = factors.fit(t, rank=3, rounds=2)
+    both = factors.stated_and_predicted(t.unionByName(_table(spark, [(99, 1, 1.0), (1, 99, 1.0)])), model)
+    want = t.join(factors.predict(model, t), ["user_id", "item_id"]).select("rating", "prediction").collect()
+    assert sorted(map(tuple, both.collect())) == [pytest.approx(tuple(r), abs=1e-5) for r in sorted(map(tuple, want))]
+    plan = factors.stated_and_predicted(t, model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join [") == 1 and "Exchange hashpartitioning(user_id" not in plan
