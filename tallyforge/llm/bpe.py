@@ -56,61 +56,69 @@ class Encoder:
         vocab = spec["model"]["vocab"]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         joined = [(vocab[x], vocab[y], vocab[x + y]) for x, y in pairs]
-        self.rank = {left << PLACE | right: rank for rank, (left, right, _) in enumerate(joined)}
+        self.rank = {left << PLACE | right: rank << PLACE for rank, (left, right, _) in enumerate(joined)}
         self.result = [new for _, _, new in joined]
         alphabet = byte_alphabet()
         self.of_byte = [vocab[c] for c in alphabet]
+        self.of_bytes = [self.rank.get(x << PLACE | y, -1) for x in self.of_byte for y in self.of_byte]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known = Remembered(self.word, remembered)
         self.first = Remembered(self.stretch, remembered // 32)
-        self.later = Remembered(lambda piece: self.stretch(" " + piece), remembered)
+        self.later = Remembered(self.piece, remembered)
+        self.pack = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one word. A queue entry is a rank and the place of its left symbol; it is
         stale if the symbols that stand there now don't merge with that rank."""
-        of_byte, rank_of, result = self.of_byte, self.rank.get, self.result
-        symbols = [of_byte[b] for b in word]
-        last = len(symbols) - 1
-        before = list(range(-1, last))
-        after = list(range(1, last + 2))
-        if symbols:
-            after[last] = -1
-        queue = []
-        for at in range(last):
-            rank = rank_of(symbols[at] << PLACE | symbols[at + 1])
-            if rank is not None:
-                queue.append(rank << PLACE | at)
+        of_bytes, rank_of, result = self.of_bytes, self.rank.get, self.result
+        symbols = [self.of_byte[b] for b in word]
+        # the rank of the symbol at each place with the one after it, above the place's bits
+        live = [of_bytes[b << 8 | c] for b, c in zip(word, word[1:])]
+        queue = [rank | at for at, rank in enumerate(live) if rank >= 0]
+        if not queue:
+            return symbols
+        live.append(-1)
+        end = len(symbols)
+        before, after = list(range(-1, end - 1)), list(range(1, end + 1))
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            rank, at = entry >> PLACE, entry & LOW
-            then = after[at]
-            if then < 0 or rank_of(symbols[at] << PLACE | symbols[then]) != rank:
+            at = entry & LOW
+            if live[at] != entry - at:
                 continue
-            new = symbols[at] = result[rank]
-            symbols[then] = -1
+            then = after[at]
+            new = symbols[at] = result[entry >> PLACE]
+            symbols[then] = live[then] = -1
             follow = after[at] = after[then]
-            after[then] = -1
-            if follow >= 0:
+            if follow < end:
                 before[follow] = at
-                rank = rank_of(new << PLACE | symbols[follow])
-                if rank is not None:
-                    heappush(queue, rank << PLACE | at)
+                rank = live[at] = rank_of(new << PLACE | symbols[follow], -1)
+                if rank >= 0:
+                    heappush(queue, rank | at)
+            else:
+                live[at] = -1
             lead = before[at]
             if lead >= 0:
-                rank = rank_of(symbols[lead] << PLACE | new)
-                if rank is not None:
-                    heappush(queue, rank << PLACE | lead)
+                rank = live[lead] = rank_of(symbols[lead] << PLACE | new, -1)
+                if rank >= 0:
+                    heappush(queue, rank | lead)
         return [s for s in symbols if s >= 0]
 
     def word(self, text: str) -> bytes:
         ids = self.merged(text.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else struct.pack(f"<{len(ids)}I", *ids)
 
     def stretch(self, text: str) -> bytes:
         """Ids of a part of a text that begins and ends where words do."""
-        return b"".join(map(self.known.__getitem__, WORDS.findall(text)))
+        words = WORDS.findall(text)
+        return self.known[words[0]] if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a space and the stretch after it. Letters or digits of ASCII alone are one word with it."""
+        if text.isascii() and (text.isalpha() or text.isdigit()):
+            return self.known[" " + text]
+        return self.stretch(" " + text)
 
     def encode(self, text: str) -> bytes:
         """All ids of a text, four bytes each."""

@@ -649,3 +649,24 @@ class TestQualityModel:
 
 def test_all_are_registered():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14)) and set(SQL) <= set(QUERIES)
+
+
+def test_merges_are_those_of_a_plain_loop():
+    """The pair of least rank, the first of these, is merged until none is left; two bytes are ranked by a table."""
+    use = bpe.Encoder(vocabulary("byte_bpe_50k.json"))
+
+    def plain(word):
+        ids = [use.of_byte[b] for b in word]
+        while True:
+            best = min(((use.rank[x << bpe.PLACE | y], i) for i, (x, y) in enumerate(zip(ids, ids[1:])) if x << bpe.PLACE | y in use.rank), default=None)
+            if best is None:
+                return ids
+            ids[best[1] : best[1] + 2] = [use.result[best[0] >> bpe.PLACE]]
+
+    rng = random.Random(3)
+    words = [bytes(rng.choice(b"aabtheinr \xc3\xa9\xe4\xb8\xad019") for _ in range(rng.randrange(24))) for _ in range(400)]
+    for word in [b"", b"a", b"a" * 300, b"the" * 50, *words]:
+        assert use.merged(word) == plain(word)
+    assert len(use.of_bytes) == 1 << 16
+    for text in ("abc", "42", "a1", "", "é", "²", "it's", "x" * 200, "A.b", "٣"):
+        assert use.piece(text) == b"".join(use.word(w) for w in bpe.WORDS.findall(" " + text))
