@@ -123,7 +123,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """All ids of a text, four bytes each."""
         out = []
-        for part in self.split_special.split(text) if self.special else [text]:
+        for part in self.split_special.split(text) if any(map(text.__contains__, self.special)) else [text]:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
             elif part:
@@ -146,8 +146,7 @@ class Decoder:
 
     def decode(self, ids: bytes) -> str:
         """The text of the concatenated vocabulary strings."""
-        strings = self.strings
-        return b"".join([strings[i] for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
+        return b"".join(map(self.strings.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
