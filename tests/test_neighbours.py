@@ -230,6 +230,39 @@ def test_latent_space_and_profiles(spark):
     assert again == pytest.approx(fast)
 
 
+def test_latent_space_moves_no_rating(spark, monkeypatch, tmp_path):
+    """Blocks of users get the vectors of their items; no user's sums are shuffled. Users with too many rows are joined."""
+    rng = np.random.default_rng(3)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(40) for i in range(25) if rng.random() < 0.6 or u == 7]
+    rows += [(None, 3, 1.0), (3, None, 1.0), (99, 3, None)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double").persist()
+    pairs = df.where("user_id < 20").select("user_id", "item_id").unionByName(spark.createDataFrame([(2, 10**6), (10**6, 2)], "user_id long, item_id long"))
+
+    def everything():
+        space = factors.latent_items(df, 2)
+        vectors = {r.item_id: r.features for r in space.collect()}
+        both = [{(r[0], r[1]): r[2] for r in neighbours.profile_estimates(df, p, space).collect()} for p in (pairs, None)]
+        return vectors, *both
+
+    plain = everything()
+    m = np.zeros((40, 25))
+    for u, i, rating in rows[:-3]:
+        m[u, i] = rating
+    right = np.linalg.svd(m)[2][:2].T
+    np.testing.assert_allclose(np.abs((np.array([plain[0][i] for i in range(25)]) * right).sum(axis=0)), 1.0, atol=1e-8)
+    assert len(plain[1]) == sum(r[0] is not None and r[0] < 20 for r in rows if r[1] is not None)
+    assert {p: s for p, s in plain[2].items() if p[0] < 20} == pytest.approx(plain[1])
+    monkeypatch.setattr(blocks, "ROWS", 100)
+    monkeypatch.setattr(blocks, "HEAVY", 20)
+    for cut, whole in zip(everything(), plain):
+        assert cut.keys() == whole.keys()
+        for key, value in whole.items():
+            assert cut[key] == pytest.approx(value, abs=1e-9)
+    placed, heavy = blocks.by_user(df.dropna())
+    assert placed.select("block").distinct().count() > 1 and 7 in {r[0] for r in heavy.select("user_id").distinct().collect()}
+    assert placed.groupBy("user_id").agg(F.count_distinct("block").alias("n")).agg(F.max("n")).first()[0] == 1
+
+
 def test_most_similar_leaves_itself_out(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])], "id long, features array<double>")
     assert [r.id for r in neighbours.most_similar(df, 1, 5).collect()] == [2, 3]
