@@ -3,7 +3,8 @@
 A row is a list of positions and a list of values. Each step sends the weights to the tasks,
 which fold their Arrow blocks into one gradient by position; Spark adds these by position and
 the driver gets ``width`` numbers. The plan has the same size at any width, and a row costs
-what it holds. For a handful of dense columns :mod:`linear` stays in built-in sums.
+what it holds. For a handful of dense columns :mod:`linear` stays in built-in sums. Squared error
+over at most ``MOMENT_WIDTH`` positions reads the rows once for their moments, which all steps share.
 
 Rows with a null label or null lists take no part, nor do null values and their positions; a row
 with empty lists counts with a margin of zero (or the intercept). An empty input gives zero
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.linear import LinearModel, _shrink
+from tallyforge.operators.moments import Moments
 from tallyforge.session import ship_package
 
 #: The factor of x in one row's gradient, from margins and labels.
@@ -28,6 +30,8 @@ SLOPES: dict[str, Callable[[np.ndarray, np.ndarray], np.ndarray]] = {
     "logistic": lambda m, y: 1 / (1 + np.exp(-np.clip(m, -500, 500))) - y,
     "hinge": lambda m, y: np.where(m * (2 * y - 1) < 1, 1 - 2 * y, 0.0),
 }
+#: Widest rows whose moments are kept, and rows that are spread out to that width at a time.
+MOMENT_WIDTH, ROWS_AT_ONCE = 256, 4096
 #: Parts of a million that mini-batches are drawn in.
 PARTS = 1_000_000
 
@@ -49,6 +53,43 @@ def _cells(positions: pa.Array, values: pa.Array, width: int) -> tuple[np.ndarra
     return row, at, value
 
 
+def _rows_of(df: DataFrame, positions: Column, values: Column, label: str, *more: Column) -> DataFrame:
+    rows = df.select(
+        positions.cast("array<bigint>").alias("at"), values.cast("array<double>").alias("value"), F.col(label).cast("double").alias("label"), *more
+    )
+    return rows.where("at IS NOT NULL AND value IS NOT NULL AND label IS NOT NULL")
+
+
+def spread(batch: pa.RecordBatch, width: int, around: tuple[int, int] = (0, 0)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Dense rows of a block with ``around`` empty columns on the left and right, and their labels."""
+    whole = around[0] + width + around[1]
+    for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+        part = batch.slice(low, ROWS_AT_ONCE)
+        row, at, value = _cells(part.column(0), part.column(1), width)
+        x = np.bincount(row * whole + at + around[0], value, part.num_rows * whole).reshape(-1, whole)
+        yield x, part.column(2).to_numpy(zero_copy_only=False)
+
+
+def sparse_moments(df: DataFrame, positions: Column, values: Column, width: int, label: str = "label") -> Moments:
+    """Moments of the rows from one pass, for up to ``MOMENT_WIDTH`` positions."""
+    ship_package(df.sparkSession)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width + 2, width + 2))
+        for batch in batches:
+            for x, y in spread(batch, width, (1, 1)):
+                x[:, 0], x[:, -1] = 1.0, y
+                total += x.T @ x
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total.reshape(-1)[used])], ["at", "part"])
+
+    rows = _rows_of(df, positions, values, label)
+    summed = rows.mapInArrow(fold, "at bigint, part double").groupBy("at").agg(F.sum("part").alias("part")).toPandas()
+    sums = np.zeros((width + 2) ** 2)
+    sums[summed["at"].to_numpy(np.int64)] = summed["part"].to_numpy(float)
+    return Moments(sums.reshape(width + 2, width + 2))
+
+
 def _folded(rows: DataFrame, weights: np.ndarray, width: int, loss: str) -> tuple[float, np.ndarray]:
     """Number of rows and sum of their gradients; the last weight may be an intercept."""
     bias = len(weights) > width
@@ -92,20 +133,18 @@ def sparse_descent(
     """Descent with rate ``step / sqrt(t)``, as :func:`linear.gradient_descent` takes it.
 
     ``batch`` names key columns and a share: step ``t`` reads the rows whose key hashes, with
-    ``t``, into that share, whatever the partitioning. The input is read once a step and
-    should be persisted or written by the caller.
+    ``t``, into that share, whatever the partitioning. The input is read once a step, where
+    moments don't serve, and should then be persisted or written by the caller.
     """
     ship_package(df.sparkSession)
-    rows = df.select(
-        positions.cast("array<bigint>").alias("at"), values.cast("array<double>").alias("value"),
-        F.col(label).cast("double").alias("label"), *([F.array(*[F.col(c).cast("string") for c in batch[0]]).alias("key")] if batch else []),
-    ).where("at IS NOT NULL AND value IS NOT NULL AND label IS NOT NULL")
+    rows = _rows_of(df, positions, values, label, *([F.array(*[F.col(c).cast("string") for c in batch[0]]).alias("key")] if batch else []))
+    known = sparse_moments(df, positions, values, width, label) if loss == "squared" and width <= MOMENT_WIDTH and not batch else None
     w, done = np.zeros(width + intercept), 0
     for t in range(1, iterations + 1):
         drawn = rows
         if batch:
             drawn = rows.where(F.pmod(F.xxhash64("key", F.lit(t)), F.lit(PARTS)) < batch[1] * PARTS)
-        n, sums = _folded(drawn.select("at", "value", "label"), w, width, loss)
+        n, sums = _folded(drawn.select("at", "value", "label"), w, width, loss) if known is None else (known.n, known.gradient(w))
         rate = step / np.sqrt(t)
         move = rate * sums / max(n, 1.0)
         new = _shrink(w - move, rate, reg, penalty) if penalty == "l1" else _shrink(w, rate, reg, penalty) - move

@@ -43,6 +43,21 @@ class Moments:
     def n(self) -> float:
         return float(self.sums[0, 0])
 
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """Sum over rows of the gradient of half the squared error; a weight more than columns is an intercept."""
+        width = len(self.sums) - 2
+        order = [*range(1, width + 1), *([0] if len(w) > width else [])]
+        return self.sums[np.ix_(order, order)] @ w - self.sums[order, -1]
+
+    def equal_rows(self) -> list[tuple[list[float], float, float]]:
+        """``(x, y, weight)`` of a few rows with the same moments: two on either side of the mean
+        for each direction of spread. A fit that reads moments alone comes out the same."""
+        mean = self.sums[0, 1:] / self.n
+        size, basis = np.linalg.eigh(self.sums[1:, 1:] / self.n - np.outer(mean, mean))
+        steps = basis * np.sqrt(np.maximum(size, 0.0) * len(size))
+        made = np.concatenate([mean + steps.T, mean - steps.T])
+        return [([float(v) for v in z[:-1]], float(z[-1]), self.n / len(made)) for z in made]
+
     def _centred(self, intercept: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Mean products of x with x and with y, and the means taken off."""
         mean = self.sums[0] / self.n if intercept else np.zeros(len(self.sums))

@@ -18,15 +18,16 @@ SCALES = {"quantity": 50.0, "discount": 0.1, "tax": 0.1}
 
 def _rows(t: Tables) -> tuple[DataFrame, Column, Column, int]:
     """Rows with both targets, their positions and values, and the width."""
-    encoder = encode.MixedEncoder(CATEGORIES, list(SCALES)).fit(t.rentals)
-    rows = encoder.positions(t.rentals).select(
+    rentals = written(t.rentals.drop("order_id"), "rentals")  # lines meet their orders once
+    encoder = encode.MixedEncoder(CATEGORIES, list(SCALES)).fit(rentals)
+    rows = encoder.positions(rentals).select(
         "hot", *[(F.col(c).cast("double") / s).alias(c) for c, s in SCALES.items()],
         (F.col("target") / 10000).alias("label"), F.when(F.col("target") > 25000, 1.0).otherwise(0.0).alias("dear"),
     )
     first = encoder.category_width
     at = F.concat(F.col("hot").cast("array<bigint>"), F.array(*[F.lit(first + i).cast("long") for i in range(len(SCALES))]))
     value = F.concat(F.array_repeat(F.lit(1.0), F.size("hot")), F.array(*SCALES))
-    return written(rows, "rental-rows"), at, value, encoder.width
+    return rows, at, value, encoder.width
 
 
 def _sql(slope: str, label: str, penalty: str | None) -> str:
@@ -49,6 +50,8 @@ def _sql(slope: str, label: str, penalty: str | None) -> str:
 
 def _fitted(t: Tables, label: str, loss: str, penalty: str | None) -> DataFrame:
     rows, at, value, width = _rows(t)
+    if loss != "squared":  # read once a step
+        rows = written(rows, "rental-rows")
     model = descent.sparse_descent(rows, at, value, width, label, loss, STEPS, STEP, REG, penalty, tolerance=0.0)
     weights = [(i, round(w, 6) + 0.0) for i, w in enumerate(model.weights)]
     return t.spark.createDataFrame(weights, "position bigint, weight double")

@@ -83,3 +83,16 @@ def test_the_plan_has_a_fixed_size(spark, monkeypatch):
     for width in (2, 20_000):
         descent.sparse_descent(df, F.col("positions"), F.col("values"), width, iterations=3, tolerance=0.0)
     assert max(plans) - min(plans) < 50
+
+
+def test_squared_error_reads_the_rows_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.random((200, 6)) * (rng.random((200, 6)) < 0.6)
+    y = rng.random(200)
+    rows = [(i, [int(a) for a in np.flatnonzero(x[i])], [float(v) for v in x[i][x[i] != 0]], float(y[i])) for i in range(200)]
+    df = spark.createDataFrame(rows, KIND).repartition(4)
+    monkeypatch.setattr(descent, "_folded", lambda *_: pytest.fail("a step read the rows"))
+    for penalty in ("l1", "l2"):
+        asked = dict(iterations=6, step=0.5, reg=0.01, penalty=penalty, tolerance=0.0)
+        model = descent.sparse_descent(df, F.col("positions"), F.col("values"), 6, **asked)
+        np.testing.assert_allclose(model.weights, plain(x, y, "squared", 6, 0.5, 0.01, penalty), atol=1e-10)
