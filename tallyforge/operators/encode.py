@@ -80,6 +80,12 @@ class MixedEncoder:
         at = [(F.col(f"{c}_idx") + self.offsets[c]) for c in self.categories]
         return self.indexed(df).withColumn("hot", F.array_compact(F.array(*at)))
 
+    def cells(self) -> tuple[Column, Column]:
+        """Positions and values of the rows that :meth:`positions` made."""
+        numbers = F.array(*[F.lit(self.category_width + i).cast("long") for i in range(len(self.numbers))])
+        values = F.array(*[F.col(n).cast("double") for n in self.numbers])
+        return F.concat(F.col("hot").cast("array<bigint>"), numbers), F.concat(F.array_repeat(F.lit(1.0), F.size("hot")), values)
+
     def dense_features(self, df: DataFrame, name: str = "features") -> DataFrame:
         blocks = [hot(F.col(f"{c}_idx"), self.widths[c]) for c in self.categories]
         tail = [F.array(*[F.col(n).cast("double") for n in self.numbers])] if self.numbers else []

@@ -64,13 +64,19 @@ def fit_tree_regressor(df: DataFrame, depth: int = 5, bins: int = 32):
     return DecisionTreeRegressor(maxDepth=depth, maxBins=bins, seed=42).fit(as_vectors(df))
 
 
-def fit_linear(df: DataFrame, reg: float = 0.0, penalty: str = "none", iterations: int = 100, intercept: bool = True):
-    return LinearRegression(
+def fit_linear(
+    df: DataFrame, reg: float = 0.0, penalty: str = "none", iterations: int = 100, intercept: bool = True, weight: str | None = None
+):
+    """``weight`` names a column that counts a row several times. With weights and no intercept it
+    descends over the rows: the normal equations of collinear columns are solved or not as rounding has it."""
+    regression = LinearRegression(
+        solver="l-bfgs" if weight and not intercept else "auto",
         maxIter=iterations,
         regParam=0.0 if penalty == "none" else reg,
         elasticNetParam=PENALTIES[penalty],
         fitIntercept=intercept,
-    ).fit(as_vectors(df))
+    )
+    return (regression.setWeightCol(weight) if weight else regression).fit(as_vectors(df))
 
 
 def tree_shape(model) -> tuple[int, int]:

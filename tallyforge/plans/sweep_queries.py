@@ -7,14 +7,17 @@ regressors over the rental rows and order lines: 60 % training, 40 % test by a h
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.operators import linear, metrics, models, splits, tuning
-from tallyforge.plans.model_queries import _accuracy, _documents, _gd_rows, _rentals, _rmsle, _tree_rows
+from tallyforge.operators import descent, encode, linear, metrics, models, splits, tuning
+from tallyforge.plans.encode_queries import CATEGORIES, NUMBERS
+from tallyforge.plans.model_queries import _accuracy, _documents, _gd_rows, _rmsle, _tree_rows
 from tallyforge.plans.registry import query
 from tallyforge.plans.views import Tables
 from tallyforge.session import written
@@ -96,23 +99,47 @@ def sweep_regression_steps(t: Tables) -> DataFrame:
     )
 
 
-def _linear_rmsle(model, df: DataFrame) -> float:
-    pred = models.truth_and_prediction(model, df)
-    return metrics.regression_errors(pred.withColumn("predicted", F.greatest("predicted", F.lit(0.0)))).first()["rmsle"]
+def _log_errors(df: DataFrame, positions: Column, values: Column, width: int, models_: np.ndarray) -> list[float]:
+    """RMSLE of all linear models, columns of weights below intercepts, from one pass; predictions are 0 at least."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(models_.shape[1]), 0
+        for batch in batches:
+            for x, y in descent.spread(batch, width, (1, 0)):
+                x[:, 0] = 1.0
+                gap = np.log1p(np.maximum(x @ models_, 0.0)) - np.log1p(y)[:, None]
+                total += (gap * gap).sum(axis=0)
+                n += len(y)
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tolist()], pa.list_(pa.float64()))], ["n", "total"])
+
+    parts = descent._rows_of(df, positions, values, "label").mapInArrow(fold, "n bigint, total array<double>")
+    sums = parts.agg(F.sum("n"), *[F.sum(F.col("total")[i]) for i in range(models_.shape[1])]).first()
+    return [float(np.sqrt(s / sums[0])) for s in sums[1:]]
 
 
 @query("TUN-1 TUN-2 ML-7 ML-8")
 def sweep_regressions(t: Tables) -> DataFrame:
-    return _tables(
-        *_parts(_rentals(t, "order_id"), ["order_id"]),
-        [
-            ("iterations", "iterations_regression", lambda d, p: models.fit_linear(d, iterations=p)),
-            ("l2", "l2_regression", lambda d, p: models.fit_linear(d, p, "l2", 10)),
-            ("l1", "l1_regression", lambda d, p: models.fit_linear(d, p, "l1", 10)),
-            ("intercept", "intercept", lambda d, p: models.fit_linear(d, iterations=10, intercept=p)),
-        ],
-        _linear_rmsle,
-    )
+    """Spark fits a linear model of at most 4096 columns from the rows' moments, so each fit gets a
+    few rows with the same ones. The training rows are read once, and so are those that all models are scored on."""
+    rentals = written(splits.hash_split(t.rentals, ["order_id"], [60, 40], seed=123), "rentals")
+    encoder = encode.MixedEncoder(CATEGORIES, NUMBERS).fit(rentals)
+    at, value = encoder.cells()
+    rows = encoder.positions(rentals).withColumn("label", F.col("target"))
+    few = descent.sparse_moments(rows.where("part = 0"), at, value, encoder.width).equal_rows()
+    train = t.spark.createDataFrame(few, "features array<double>, label double, weight double").coalesce(1).persist()
+    fits = [
+        ("iterations", "iterations_regression", lambda p: models.fit_linear(train, iterations=p, weight="weight")),
+        ("l2", "l2_regression", lambda p: models.fit_linear(train, p, "l2", 10, weight="weight")),
+        ("l1", "l1_regression", lambda p: models.fit_linear(train, p, "l1", 10, weight="weight")),
+        ("intercept", "intercept", lambda p: models.fit_linear(train, iterations=10, intercept=p, weight="weight")),
+    ]
+    places = [(name, i, p, fit) for name, grid, fit in fits for i, p in enumerate(tuning.GRIDS[grid])]
+    made = [fit(p) for _, _, p, fit in places]
+    train.unpersist()
+    weights = np.array([[m.intercept, *m.coefficients.toArray()] for m in made]).T
+    errors = _log_errors(rows.where("part = 1"), at, value, encoder.width, weights)
+    lines = [(name, i, str(p), e) for (name, i, p, _), e in zip(places, errors, strict=True)]
+    return t.spark.createDataFrame(lines, "swept string, place int, param string, metric double")
 
 
 @query("TUN-1 TUN-2 ML-6")

@@ -5,7 +5,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tallyforge.operators import linear, metrics, models, splits, tuning
+from tallyforge.operators import descent, linear, metrics, models, splits, tuning
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +93,18 @@ def test_cross_validation_on_folds(line):
     grid = ParamGridBuilder().addGrid(estimator.regParam, [0.0, 5.0]).build()
     model = tuning.cross_validate(folded, estimator, RegressionEvaluator(), grid, "fold", 3)
     assert len(model.avgMetrics) == 2 and model.avgMetrics[0] < model.avgMetrics[1]
+
+
+def test_fits_on_rows_of_equal_moments(spark):
+    """Some rows that have the moments of many give Spark's fits of the many, whatever the penalty."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([np.eye(3)[rng.integers(0, 3, 500)][:, 1:], np.eye(2)[rng.integers(0, 2, 500)][:, 1:], rng.random((500, 2)) * 50])
+    y = x @ np.array([-2.0, 0.0, 1.0, 0.5, -0.1]) + rng.normal(0, 2, 500) + 30
+    rows = [([float(v) for v in a], float(b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "features array<double>, label double").repartition(3).persist()
+    found = descent.sparse_moments(df, *descent.dense(F.col("features")), 5)
+    few = spark.createDataFrame(found.equal_rows(), "features array<double>, label double, weight double")
+    assert few.count() == 12
+    for options in ({}, {"iterations": 1}, {"intercept": False}, {"reg": 0.5, "penalty": "l2"}, {"reg": 0.5, "penalty": "l1"}):
+        a, b = models.fit_linear(df, **options), models.fit_linear(few, weight="weight", **options)
+        np.testing.assert_allclose(x @ b.coefficients.toArray() + b.intercept, x @ a.coefficients.toArray() + a.intercept, atol=1e-3)
