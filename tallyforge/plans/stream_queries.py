@@ -50,15 +50,17 @@ def space_word_count(t: Tables) -> DataFrame:
 def streamed_word_count(t: Tables) -> DataFrame:
     """Final state of the running count, over several batches and a restart: the documents
     arrive in slices, two at first; the job ends, the others arrive, and it goes on from its
-    checkpoint."""
+    checkpoint. A slice is written by as many tasks as read the documents, and a batch takes
+    as many files, so neither waits for one task."""
     out, inbox = fresh_path(t.spark, "word-states"), fresh_path(t.spark, "word-inbox")
     docs = t.documents.select("doc_id", "text")
     slices = 4
     number = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(slices)), F.lit(0))
+    files = max(docs.rdd.getNumPartitions(), t.spark.sparkContext.defaultParallelism)
     for start in range(0, slices, 2):
-        arrived = docs.withColumn("slice", number).where(F.col("slice").between(start, start + 1))
-        arrived.repartition("slice").drop("slice").write.mode("append").parquet(inbox)
-        lines = messages.stream(t.spark, "parquet", {"maxFilesPerTrigger": "1"}, docs.schema, inbox)
+        arrived = docs.where(number.between(start, start + 1))
+        arrived.repartition(2 * files, F.xxhash64("doc_id", "text")).write.mode("append").parquet(inbox)
+        lines = messages.stream(t.spark, "parquet", {"maxFilesPerTrigger": str(files)}, docs.schema, inbox)
         jobs.drain(jobs.write_states(jobs.word_counts(lines, "text"), out, f"{out}-checkpoint"))
     return jobs.last_state(t.spark, out)
 

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text
 from tallyforge.sources import messages, sinks
+from tallyforge.plans import stream_queries
+from tallyforge.plans.views import Tables
 from tallyforge.streaming import jobs
 
 
@@ -135,3 +137,13 @@ def test_rate_source_and_stop(spark, tmp_path):
     query = jobs.start(stream, lambda b, i: seen.append(b.count()), str(tmp_path / "c"), seconds=1)
     assert not jobs.drain(query, timeout=4)
     assert seen and not query.isActive
+
+
+def test_a_slice_of_documents_is_many_files(spark, tmp_path, monkeypatch):
+    """Each run of the word count has two batches, and no batch waits for a single task's file."""
+    spark.createDataFrame([(i, f"w{i % 7} x") for i in range(2000)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(stream_queries, "fresh_path", lambda _, label: str(tmp_path / label))
+    got = {r.word: r.n for r in stream_queries.streamed_word_count(Tables(spark, str(tmp_path))).collect()}
+    assert got == {"x": 2000} | {f"w{i}": len(range(i, 2000, 7)) for i in range(7)}
+    assert sorted(p.name for p in (tmp_path / "word-states").glob("batch_id=*")) == [f"batch_id={i}" for i in range(4)]
+    assert len(list((tmp_path / "word-inbox").glob("*.parquet"))) >= 4 * spark.sparkContext.defaultParallelism
