@@ -146,6 +146,19 @@ def average_precision(
     )
 
 
+def full_ranking_precision(
+    ranking: DataFrame, order: Sequence[str | Column], liked: str, user: str = "user_id"
+) -> DataFrame:
+    """Mean average precision over full rankings that tell themselves which rows were ``liked``
+    (null: not). One sort numbers rows and hits; nothing is joined."""
+    rows = ranking.withColumn("__liked", F.coalesce(F.col(liked), F.lit(False)))
+    ranked = rank_within(rows, [user], order, "__rank", ("__liked", "__hit"))
+    gain = F.sum(F.when(F.col("__liked"), F.col("__hit") / F.col("__rank")))
+    per_user = ranked.groupBy(user).agg(gain.alias("gain"), F.count_if(F.col("__liked")).alias("n"))
+    found = F.when(F.col("n") > 0, F.col("gain") / F.col("n")).otherwise(0.0)
+    return per_user.agg(F.avg(found).alias("map"), F.count(F.lit(1)).alias("users"))
+
+
 def mean_average_precision(
     predicted: DataFrame, actual: DataFrame, k: int | None = None, keys: Sequence[str] = ("user_id", "item_id")
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import describe, joins, ordering, splits
+from tallyforge.operators import describe, joins, metrics, ordering, splits
 
 
 def _hot(spark, n=3000):
@@ -138,3 +138,18 @@ def test_folds_and_leave_out(spark):
     assert [r.fold for r in folds] == [0, 0, 0, 0, 1, 1, 1, 2, 2, 2]
     out = splits.leave_out(df, "u", ["pos"], 2, 3, max_test=3)
     assert sorted(r.pos for r in out.where("is_test").collect()) == [2, 3, 4]
+
+
+def test_full_rankings_are_sorted_once_and_not_joined(spark):
+    rng = np.random.default_rng(12)
+    rows = [(int(u), float(rng.random()), None if rng.random() < 0.1 else bool(rng.random() < 0.4)) for u in [0] * 3000 + rng.integers(1, 40, 600).tolist()]
+    rows += [(99, 0.5, False), (98, 0.5, True)]
+    df = spark.createDataFrame(rows, "user_id long, code double, liked boolean").repartition(6)
+    values = []
+    for user in {r[0] for r in rows}:
+        mine = [bool(r[2]) for r in sorted(r for r in rows if r[0] == user)]
+        values.append(sum(sum(mine[: i + 1]) / (i + 1) for i, hit in enumerate(mine) if hit) / max(sum(mine), 1))
+    found = metrics.full_ranking_precision(df, ["code"], "liked")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # the offsets of partitions
+    row = found.first()
+    assert row["users"] == len(values) and row["map"] == pytest.approx(np.mean(values), abs=1e-12)
