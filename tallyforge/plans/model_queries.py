@@ -170,9 +170,21 @@ def _rentals(t: Tables, *keys: str) -> DataFrame:
     return encoder.vector_features(t.rentals).select(*keys, F.col("target").alias("label"), "features")
 
 
-def _tree_rows(t: Tables, *keys: str) -> DataFrame:
+TREE_COLUMNS = ["line", "month", *NUMBERS]
+
+
+def _tree_columns(t: Tables, *keys: str) -> DataFrame:
     raw = t.rentals.withColumns({c: F.col(c).cast("double") for c in ("line", "month")})
-    return encode.ordinal_features(raw, ["line", "month", *NUMBERS]).select(*keys, F.col("target").alias("label"), "features")
+    return raw.select(*keys, F.col("target").alias("label"), *TREE_COLUMNS)
+
+
+def _tree_rows(t: Tables, *keys: str) -> DataFrame:
+    return encode.ordinal_features(_tree_columns(t, *keys), TREE_COLUMNS).select(*keys, "label", "features")
+
+
+def _tree_groups(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with the same features (and ``keys``) as one row of moments, written once."""
+    return encode.ordinal_features(written(models.label_moments(rows, [*keys, *TREE_COLUMNS]), "groups"), TREE_COLUMNS)
 
 
 @query("ML-7 ML-9 FE-9 EV-4 EV-5 EV-6")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import descent, encode, linear, metrics, models, splits, tuning
 from tallyforge.plans.encode_queries import CATEGORIES, NUMBERS
-from tallyforge.plans.model_queries import _accuracy, _documents, _gd_rows, _rmsle, _tree_rows
+from tallyforge.plans.model_queries import _accuracy, _documents, _gd_rows, _tree_columns, _tree_groups
 from tallyforge.plans.registry import query
 from tallyforge.plans.views import Tables
 from tallyforge.session import written
@@ -144,8 +144,13 @@ def sweep_regressions(t: Tables) -> DataFrame:
 
 @query("TUN-1 TUN-2 ML-6")
 def sweep_regression_depth(t: Tables) -> DataFrame:
-    train, test = _parts(_tree_rows(t, "order_id"), ["order_id"])
-    return tuning.sweep(train, test, tuning.GRIDS["depth_regression"], lambda d, p: models.fit_tree_regressor(d, p, 32), _rmsle)
+    """Rows are read once: trees are fitted to and scored on the moments of rows with the same features."""
+    parts = splits.hash_split(_tree_columns(t, "order_id"), ["order_id"], [60, 40], seed=123)
+    groups = _tree_groups(parts, "part")
+    return tuning.sweep(
+        models.rows_of_moments(groups.where("part = 0")), groups.where("part = 1"), tuning.GRIDS["depth_regression"],
+        lambda d, p: models.fit_tree_regressor(d, p, 32, "weight"), models.log_error_of_moments,
+    )
 
 
 @query("TUN-1 TUN-2 ML-2 ML-5")

@@ -5,7 +5,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tallyforge.operators import descent, linear, metrics, models, splits, tuning
+from tallyforge.operators import descent, encode, linear, metrics, models, splits, tuning
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +73,28 @@ def test_tree_regression(line):
     assert models.predicted(model, line).select("prediction").distinct().count() <= 2
 
 
+def test_tree_on_moments(spark):
+    """Rows with the same features, as moments, give Spark's tree of the rows and its error, and copies add no rows."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(1, 6, 3000), rng.integers(0, 9, 3000)]).astype(float)
+    y = x[:, 0] * 3 + (x[:, 1] > 4) * x[:, 1] + rng.exponential(2.0, 3000) - 1.5
+    rows = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], "p double, q double, label double")
+    raw = encode.ordinal_features(rows, ["p", "q"])
+    groups = encode.ordinal_features(models.label_moments(rows, ["p", "q"]), ["p", "q"]).persist()
+    few = models.rows_of_moments(groups, 200).persist()
+    assert groups.count() == 45 and few.count() < 300 and abs(few.agg(F.sum("weight")).first()[0] - 3000) < 1e-6
+    for depth, bins in ((1, 2), (3, 4), (10, 32)):
+        a, b = models.fit_tree_regressor(raw, depth, bins), models.fit_tree_regressor(few, depth, bins, "weight")
+        assert models.tree_shape(a) == models.tree_shape(b)
+        error = metrics.regression_errors(models.truth_and_prediction(a, raw)).first()["rmsle"]
+        assert abs(models.log_error_of_moments(b, groups) - error) < 1e-9
+    copies = rows.crossJoin(spark.range(10)).drop("id")
+    many = encode.ordinal_features(models.label_moments(copies, ["p", "q"]), ["p", "q"])
+    assert models.rows_of_moments(many, 200).count() < 300
+    lone = encode.ordinal_features(models.label_moments(rows.withColumn("q", F.monotonically_increasing_id() * 1.0), ["q"]), ["q"])
+    assert models.rows_of_moments(lone).count() == 3000
+
+
 def test_target_transforms(line):
     for t in linear.TRANSFORMS.values():
         back = line.select(F.max(F.abs(t.inverse(t.forward(F.col("label") + 5)) - F.col("label") - 5))).first()[0]
