@@ -229,10 +229,6 @@ def _accuracy(model, df: DataFrame) -> float:
     return metrics.accuracy(models.predicted(model, df)).first()["accuracy"]
 
 
-def _rmsle(model, df: DataFrame) -> float:
-    return metrics.regression_errors(models.truth_and_prediction(model, df)).first()["rmsle"]
-
-
 @query("TUN-1 TUN-2 ML-1 FE-10")
 def sweep_logistic_penalty(t: Tables) -> DataFrame:
     parts = splits.hash_split(_documents(t), ["id"], [60, 40], seed=123)
@@ -258,9 +254,11 @@ def sweep_bayes_smoothing(t: Tables) -> DataFrame:
 
 @query("TUN-1 TUN-2 ML-6")
 def sweep_regression_bins(t: Tables) -> DataFrame:
-    rows = _tree_rows(t)
+    """Fitted to and scored on all rows, by the moments of rows with the same features."""
+    groups = _tree_groups(_tree_columns(t))
     return tuning.sweep(
-        rows, rows, tuning.GRIDS["bins_regression"], lambda d, bins: models.fit_tree_regressor(d, 5, bins), _rmsle
+        models.rows_of_moments(groups), groups, tuning.GRIDS["bins_regression"],
+        lambda d, bins: models.fit_tree_regressor(d, 5, bins, "weight"), models.log_error_of_moments,
     )
 
 

@@ -1,3 +1,6 @@
+import os
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -6,6 +9,11 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tallyforge.operators import descent, encode, linear, metrics, models, splits, tuning
+from tallyforge.plans import model_queries
+from tallyforge.plans.catalog import CATALOG
+from tallyforge.plans.views import Tables
+
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -95,6 +103,30 @@ def test_tree_on_moments(spark):
     assert models.rows_of_moments(lone).count() == 3000
 
 
+@pytest.mark.parametrize("name", ["sweep_regression_bins", "sweep_regression_depth"])
+def test_tree_sweeps_fit_to_moments(spark, name, tmp_path, monkeypatch):
+    """Copies of the order lines add no rows to what the trees of a sweep are fitted to."""
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    for copies in (1, 8):
+        (tmp_path / str(copies)).mkdir()
+        lines.crossJoin(spark.range(copies)).drop("id").write.parquet(f"{tmp_path}/{copies}/lineitem.parquet")
+        os.symlink(f"{SMALL}/orders.parquet", tmp_path / str(copies) / "orders.parquet")
+    monkeypatch.setattr(tuning, "sweep", lambda train, *_: train)
+    monkeypatch.setattr(models, "rows_of_moments", partial(models.rows_of_moments, pieces=1000))
+    once, often = (CATALOG[name](spark, str(tmp_path / str(copies))) for copies in (1, 8))
+    assert often.count() <= 2 * once.count()
+    assert abs(often.agg(F.sum("weight")).first()[0] - 8 * once.agg(F.sum("weight")).first()[0]) < 1e-3
+
+
+def test_bins_swept_as_on_rows(spark, monkeypatch):
+    monkeypatch.setitem(tuning.GRIDS, "bins_regression", [2, 32])
+    got = [r.metric for r in CATALOG["sweep_regression_bins"](spark, SMALL).collect()]
+    rows = model_queries._tree_rows(Tables(spark, SMALL)).persist()
+    for bins, error in zip([2, 32], got, strict=True):
+        model = models.fit_tree_regressor(rows, 5, bins)
+        assert abs(error - metrics.regression_errors(models.truth_and_prediction(model, rows)).first()["rmsle"]) < 1e-9
+
+
 def test_target_transforms(line):
     for t in linear.TRANSFORMS.values():
         back = line.select(F.max(F.abs(t.inverse(t.forward(F.col("label") + 5)) - F.col("label") - 5))).first()[0]
