@@ -89,6 +89,23 @@ def test_phrases_of_nothing(spark):
     assert phrases.collocations(lone).collect() == []
 
 
+def test_trie_takes_sorted_phrases_at_once():
+    """Phrases of all first ids together give what one first id at a time gives, burst subtrees too."""
+    rng, one, all_, want = np.random.default_rng(1), phrases.Trie(burst=3), phrases.Trie(burst=3), Counter()
+    for _ in range(60):
+        drawn = np.stack([rng.integers(1, 9, 12), rng.integers(0, 4, 12) << 2 * phrases.ID_BITS], axis=1)
+        rows = np.unique(drawn, axis=0)
+        counts = rng.integers(1, 5, len(rows))
+        all_.extend(rows[:, 0], rows[:, 1], counts)
+        for first in np.unique(rows[:, 0]):
+            mine = rows[:, 0] == first
+            one.add(int(first), rows[mine, 1], counts[mine])
+        want.update({(int(f), int(k)): int(c) for (f, k), c in zip(rows, counts)})
+    assert all_.root == one.root and all_.sizes == one.sizes and all_.entries == one.entries == len(want)
+    of, keys, counts = all_.take(list(all_.root))
+    assert dict(zip(zip(of.tolist(), keys.tolist()), counts.tolist())) == want
+
+
 def test_trie_bursts_and_spills_whole_subtrees():
     rng, trie, want = np.random.default_rng(0), phrases.Trie(burst=3), Counter()
     for _ in range(40):
