@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import factors, similar
+from tallyforge.operators import factors, linked, neighbours, similar
 from tallyforge.session import discard, tidy, written
 
 SCHEMA = "user_id long, item_id long, rating double"
@@ -96,3 +96,28 @@ def test_cells_of_best_products_are_made_in_turn(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert len(sizes) > 1 and max(sizes) <= cores and max(copies) <= 10 * cores and sum(sizes) >= 20
     assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("similarity", [neighbours.euclid, neighbours.pearson, neighbours.cosine])
+@pytest.mark.parametrize("links", [60, 1 << 22])
+def test_estimates_make_their_own_links(spark, monkeypatch, similarity, links):
+    """In cells of any size, the same scores as from stored links; no link is shuffled."""
+    rng = np.random.default_rng(6)
+    rows = [(u, int(i) * 3 - 20, float(rng.integers(1, 6)) if u % 5 else 2.0) for u in range(60) for i in rng.choice(40, 2 + u % 7, replace=False) if (u < 30) == (i < 20) or u == 7]
+    df = written(spark.createDataFrame([*rows, (100, 500 if links < 100 else 2**40, 1.0 if links < 100 else 0.1)], SCHEMA), "test")
+    for name, value in (("LINKS", links), ("TARGETS", 5 if links < 100 else 8192), ("TERMS_AT_ONCE", 40), ("FINE", 3), ("LINKS_AT_ONCE", 50), ("SUMS_AT_ONCE", 12), ("LISTS_AT_ONCE", 7)):
+        monkeypatch.setattr(linked, name, value)
+    sims = neighbours.similarities(neighbours.co_rating_sums(df), similarity)
+    for best in (None, 2):
+        got = neighbours.estimates(df, sims, 6, best)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "source" not in plan and "late" in plan
+        want = neighbours.estimates(df, sims.where("true"), 6, None)
+        a, b = ({(r.user_id, r.item_id): r.score for r in x.collect()} for x in (got, want))
+        if best is None:
+            assert a.keys() == b.keys() and len(a) > 500
+        else:  # cells keep what can be among the best
+            for u in {u for u, _ in b}:
+                first = sorted((-s, i) for (v, i), s in b.items() if v == u)[:best]
+                assert all((u, i) in a for _, i in first)
+        assert all(a[x] == pytest.approx(b[x], abs=1e-9) for x in a)
