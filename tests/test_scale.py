@@ -1,13 +1,14 @@
 """What stays on disk and in memory behind a step, and how work is cut."""
 
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import factors, linked, neighbours, similar
-from tallyforge.session import discard, tidy, written
+from tallyforge.session import discard, shared_dir, tidy, written
 
 SCHEMA = "user_id long, item_id long, rating double"
 
@@ -121,3 +122,11 @@ def test_estimates_make_their_own_links(spark, monkeypatch, similarity, links):
                 first = sorted((-s, i) for (v, i), s in b.items() if v == u)[:best]
                 assert all((u, i) in a for _, i in first)
         assert all(a[x] == pytest.approx(b[x], abs=1e-9) for x in a)
+
+
+def test_a_latent_space_leaves_one_table(spark):
+    """Each round's table takes the place of the one before."""
+    base = Path(shared_dir(spark).removeprefix("file:")) / "tallyforge"
+    before = set(base.glob("svd-*")) if base.exists() else set()
+    items = factors.latent_items(_ratings(spark, 25, 18), dims=2, spare=2)
+    assert items.count() == 18 and {p.name.rsplit("-", 1)[0] for p in set(base.glob("svd-*")) - before} == {"svd-v"}
